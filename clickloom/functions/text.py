@@ -7,6 +7,8 @@ per-token lambda.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,14 +19,34 @@ TRAILING_PUNCTUATION = r".,;\"!?_\-:"
 FOOTNOTE_LENGTH = 5
 
 _GAP = f"[{DELIMITERS}]+"
-_TOKEN_START = f"(?<![^{DELIMITERS}])"
-_TOKEN_END = f"(?![^{DELIMITERS}])"
-_LEADING = f"{_TOKEN_START}[{LEADING_PUNCTUATION}]++"
-# The lookbehind starts a match only at the head of a run of punctuation, so a
-# long run inside a word is scanned once and not once per character.
-_TRAILING = f"(?<![{TRAILING_PUNCTUATION}])[{TRAILING_PUNCTUATION}]++{_TOKEN_END}"
-_FOOTNOTE = rf"([^{DELIMITERS}]{{{FOOTNOTE_LENGTH}}})(?<=\]){_TOKEN_END}"
-_DOUBLE_DASH = rf"{_TOKEN_START}(?<!\n)([^{DELIMITERS}]*?)--([^{DELIMITERS}]*)"
+_IN_TOKEN = f"[^{DELIMITERS}]"
+# Letters one by one: a class without ranges is a single table lookup.
+_NON_LETTER = f"[^{string.ascii_letters}{DELIMITERS}]"
+
+
+def _leading_run(kind: str) -> str:
+    """Run of characters of a class at the start of a token.
+
+    The class is tried before the lookbehind: most characters fail it at once.
+    """
+    return f"{kind}(?<!{_IN_TOKEN}{kind}){kind}*+"
+
+
+def _trailing_run(kind: str) -> str:
+    """Run of characters of a class at the end of a token.
+
+    A match starts only at the head of a run, so a long run in mid-token is
+    scanned once and not once per character.
+    """
+    return f"{kind}(?<!{kind}{kind}){kind}*+(?!{_IN_TOKEN})"
+
+
+_LEADING = _leading_run(f"[{LEADING_PUNCTUATION}]")
+_TRAILING = _trailing_run(f"[{TRAILING_PUNCTUATION}]")
+_LEADING_NON_LETTERS = _leading_run(_NON_LETTER)
+_TRAILING_NON_LETTERS = _trailing_run(_NON_LETTER)
+_FOOTNOTE = rf"({_IN_TOKEN}{{{FOOTNOTE_LENGTH}}})(?<=\])(?!{_IN_TOKEN})"
+_DOUBLE_DASH = rf"(?<!{_IN_TOKEN})(?<!\n)({_IN_TOKEN}*?)--({_IN_TOKEN}*)"
 
 
 def tokens(line: Column) -> Column:
@@ -63,20 +85,17 @@ def clean_words(line: Column) -> Column:
     return tokens(F.when(has_cuts, cut).otherwise(plain))
 
 
-def strip_non_letters(word: Column) -> Column:
-    """Drop everything but A-Z and a-z at both ends of a word."""
-    head = F.regexp_replace(word, "^[^A-Za-z]+", "")
-    return F.regexp_replace(head, "(?<![^A-Za-z])[^A-Za-z]++$", "")
+def strip_non_letters(line: Column) -> Column:
+    """Drop everything but A-Z and a-z at both ends of every token of a line."""
+    return F.regexp_replace(
+        F.regexp_replace(line, _LEADING_NON_LETTERS, ""), _TRAILING_NON_LETTERS, ""
+    )
 
 
 def letter_words(line_tokens: Column) -> Column:
     """Distinct lower-case words of a token array, non-letters stripped at the ends."""
     text = F.lower(F.array_join(line_tokens, " "))
-    head = F.regexp_replace(text, f"{_TOKEN_START}[^A-Za-z{DELIMITERS}]++", "")
-    both = F.regexp_replace(
-        head, f"(?<![^A-Za-z{DELIMITERS}])[^A-Za-z{DELIMITERS}]++{_TOKEN_END}", ""
-    )
-    return F.array_distinct(tokens(both))
+    return F.array_distinct(tokens(strip_non_letters(text)))
 
 
 def section(line_tokens: Column, start: str, stop: str) -> Column:

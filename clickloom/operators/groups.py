@@ -98,12 +98,11 @@ def _segmented_groups(
     its place in its own slice. The sorted slices are written out before use:
     range boundaries come from sampling, so both readers must see one layout.
     """
-    copies = F.lit(1).cast("bigint") if distinct else F.count(F.lit(1))
     folded = rows.groupBy(KEY, ITEM).agg(
         F.count(F.lit(1)).alias("copies"), *[F.bool_or(f).alias(f) for f in flags]
     )
     if distinct:
-        folded = folded.withColumn("copies", copies)
+        folded = folded.withColumn("copies", F.lit(1).cast("bigint"))
     sorted_rows = reliable_checkpoint(
         folded.repartitionByRange(KEY, ITEM)
         .sortWithinPartitions(KEY, ITEM)
@@ -135,7 +134,10 @@ def _segmented_groups(
         .withColumn("first", F.col("before") + F.col("upto") - F.col("copies"))
         .withColumn("last", F.col("before") + F.col("upto") - 1)
         .withColumn(
-            "segment", F.explode(F.sequence(F.floor(F.col("first") / size), F.floor(F.col("last") / size)))
+            "segment",
+            F.explode(
+                F.sequence(F.expr(f"first div {segment_size}"), F.expr(f"last div {segment_size}"))
+            ),
         )
     )
     # The share of an item's copies that falls into this segment.

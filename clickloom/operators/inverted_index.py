@@ -26,21 +26,24 @@ def header_addresses(lines: DataFrame, text: Column) -> DataFrame:
     """``key, message_id`` per address; the key is the header and the address."""
     words = F.col("words")
     end = F.array_position(words, END_OF_HEADERS).cast("int")
+    id_at = F.array_position(words, MESSAGE_ID).cast("int")
     headers = (
         lines.select(tokens(text).alias("words"))
         .select(F.when(end > 0, F.slice(words, F.lit(1), end)).otherwise(words).alias("words"))
         .select(
-            F.get(words, F.array_position(words, MESSAGE_ID).cast("int")).alias("message_id"),
-            F.array_position(words, MESSAGE_ID).alias("id_at"),
+            F.when(id_at > 0, F.get(words, id_at)).alias("message_id"),
             *[section(words, start, stop).alias(start) for start, stop in HEADER_SECTIONS],
         )
-        .filter((F.col("id_at") > 0) & F.col("message_id").isNotNull())
     )
 
     def keyed(header: str) -> Column:
         return F.transform(F.col(header), lambda address: F.concat(F.lit(header), address))
 
-    entries = F.concat(*[keyed(start) for start, _ in HEADER_SECTIONS])
+    # A line without an id explodes to nothing. As a filter the same test would
+    # be pushed down to the text and tokenize it a second time.
+    entries = F.when(
+        F.col("message_id").isNotNull(), F.concat(*[keyed(start) for start, _ in HEADER_SECTIONS])
+    )
     return headers.select(F.explode(entries).alias("key"), "message_id").select(
         F.regexp_replace("key", ",$", "").alias("key"), "message_id"
     )

@@ -1,0 +1,65 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from clickloom.operators import groups
+from clickloom.operators.groups import ordered_groups
+
+
+def skewed_rows(seed):
+    """One key with a third of the rows, copies of one row, NULL keys and items."""
+    draw = random.Random(seed)
+    rows = [("hot", draw.randrange(400), "x") for _ in range(300)]
+    rows += [("copied", 7, "y")] * 250
+    rows += [(draw.choice(["a", "b", None]), draw.choice([None, 1, 2, 3]), "z") for _ in range(90)]
+    rows += [(f"k{i}", i, "x") for i in range(60)]
+    draw.shuffle(rows)
+    return rows
+
+
+def brute_force(rows, distinct, size):
+    """Segments by plain sorting; NULL sorts first as in Spark."""
+    lists, seen_x = {}, {}
+    for key, n, tag in rows:
+        lists.setdefault(key, []).append((n, tag))
+        seen_x[key] = seen_x.get(key, False) or tag == "x"
+    expected = {}
+    for key, items in lists.items():
+        items = sorted(set(items) if distinct else items, key=lambda i: (i[0] is not None, i[0] or 0, i[1]))
+        for at in range(0, len(items), size):
+            expected[key, at // size] = (len(items), seen_x[key], items[at : at + size])
+    return expected
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+@pytest.mark.parametrize("size, broadcast_keys", [(10_000, 10_000), (20, 10_000), (20, 0), (1, 10_000)])
+def test_segments_match_brute_force(spark, monkeypatch, distinct, size, broadcast_keys):
+    monkeypatch.setattr(groups, "BROADCAST_KEYS", broadcast_keys)
+    rows = skewed_rows(size)
+    df = spark.createDataFrame(rows, "key string, n int, tag string").repartition(5)
+    got = ordered_groups(
+        df,
+        ["key"],
+        F.struct("n", "tag"),
+        distinct=distinct,
+        segment_size=size,
+        any_of={"has_x": F.col("tag") == "x"},
+    )
+    assert got.columns == ["key", "segment", "group_size", "has_x", "items"]
+    found = {
+        (r["key"], r["segment"]): (r["group_size"], r["has_x"], [tuple(i) for i in r["items"]])
+        for r in got.collect()
+    }
+    assert found == brute_force(rows, distinct, size)
+    assert all(len(items) <= size for _, _, items in found.values())
+
+
+def test_two_keys_and_empty_input(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", None, 2)], "u string, c string, n int")
+    got = ordered_groups(df, ["u", "c"], F.col("n"), distinct=True, segment_size=1).collect()
+    assert sorted((r["u"], r["c"], r["segment"], r["items"]) for r in got) == [
+        ("a", None, 0, [1]),
+        ("a", None, 1, [2]),
+    ]
+    assert ordered_groups(df.limit(0), ["u"], F.col("n"), distinct=True, segment_size=1).count() == 0
