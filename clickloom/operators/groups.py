@@ -14,25 +14,34 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.session import reliable_checkpoint
+from clickloom.session import written
 
 # At most this many keys are gathered and broadcast; more stay distributed.
 BROADCAST_KEYS = 10_000
 
-KEY = "group_key"
+# Segments generated at a time for one item with very many copies.
+SEGMENT_BLOCK = 1_000
+
 ITEM = "item"
 
 
-def crowded_keys(rows: DataFrame, limit: int) -> DataFrame | None:
+def _join(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
+    """Equi-join on the named columns, with NULL equal to NULL."""
+    right = right.withColumnsRenamed({n: f"other_{n}" for n in names})
+    same = [F.col(n).eqNullSafe(F.col(f"other_{n}")) for n in names]
+    return left.join(right, same, how).drop(*[f"other_{n}" for n in names])
+
+
+def crowded_keys(rows: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
     """Keys with more than ``limit`` rows, or None when there are none."""
-    counts = rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("n"))
-    crowded = counts.filter(F.col("n") > limit).select(KEY)
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    crowded = counts.filter(F.col("n") > limit).select(*keys)
     found = crowded.limit(BROADCAST_KEYS + 1).collect()
     if not found:
         return None
     if len(found) <= BROADCAST_KEYS:
         return F.broadcast(rows.sparkSession.createDataFrame(found, crowded.schema))
-    return reliable_checkpoint(crowded)
+    return written(crowded)
 
 
 def ordered_groups(
@@ -50,35 +59,33 @@ def ordered_groups(
     ``distinct`` drops equal items. ``any_of`` names row conditions; each
     becomes a column telling whether any row of the whole group meets it.
     """
-    flags = dict(any_of or {})
+    conditions = dict(any_of or {})
+    flags = list(conditions)
     rows = rows.select(
-        F.struct(*keys).alias(KEY),
+        *keys,
         item.alias(ITEM),
-        *[F.coalesce(c, F.lit(False)).alias(name) for name, c in flags.items()],
+        *[F.coalesce(c, F.lit(False)).alias(name) for name, c in conditions.items()],
     )
-    names = list(flags)
-    crowded = crowded_keys(rows, segment_size)
+    crowded = crowded_keys(rows, keys, segment_size)
     if crowded is None:
-        groups = _whole_groups(rows, names, distinct)
-    else:
-        small = rows.join(crowded, KEY, "left_anti")
-        large = rows.join(crowded, KEY, "left_semi")
-        groups = _whole_groups(small, names, distinct).unionByName(
-            _segmented_groups(large, names, distinct, segment_size)
-        )
-    return groups.select(
-        *[F.col(f"{KEY}.{k}").alias(k) for k in keys], "segment", "group_size", *names, "items"
+        return _whole_groups(rows, keys, flags, distinct)
+    small = _join(rows, crowded, keys, "left_anti")
+    large = _join(rows, crowded, keys, "left_semi")
+    return _whole_groups(small, keys, flags, distinct).unionByName(
+        _segmented_groups(large, keys, flags, distinct, segment_size)
     )
 
 
-def _whole_groups(rows: DataFrame, flags: list[str], distinct: bool) -> DataFrame:
+def _whole_groups(
+    rows: DataFrame, keys: list[str], flags: list[str], distinct: bool
+) -> DataFrame:
     """One row per key, for keys known to have few rows."""
     gather = F.collect_set if distinct else F.collect_list
     return (
-        rows.groupBy(KEY)
+        rows.groupBy(*keys)
         .agg(gather(ITEM).alias("items"), *[F.bool_or(f).alias(f) for f in flags])
         .select(
-            KEY,
+            *keys,
             F.lit(0).cast("bigint").alias("segment"),
             F.size("items").cast("bigint").alias("group_size"),
             *flags,
@@ -87,8 +94,23 @@ def _whole_groups(rows: DataFrame, flags: list[str], distinct: bool) -> DataFram
     )
 
 
+def _in_segments(placed: DataFrame, size: int) -> DataFrame:
+    """One row per segment that the places ``first`` to ``last`` reach into.
+
+    Nearly always one. The copies of one item may reach into millions, which
+    are generated block by block so that no array of them grows large.
+    """
+    block = SEGMENT_BLOCK
+    span = F.sequence(F.expr(f"first div {size * block}"), F.expr(f"last div {size * block}"))
+    inside = F.sequence(
+        F.greatest(F.expr(f"first div {size}"), F.col("block") * block),
+        F.least(F.expr(f"last div {size}"), F.col("block") * block + (block - 1)),
+    )
+    return placed.withColumn("block", F.explode(span)).withColumn("segment", F.explode(inside))
+
+
 def _segmented_groups(
-    rows: DataFrame, flags: list[str], distinct: bool, segment_size: int
+    rows: DataFrame, keys: list[str], flags: list[str], distinct: bool, segment_size: int
 ) -> DataFrame:
     """Segments of exactly ``segment_size`` items (the last one may be shorter).
 
@@ -98,61 +120,64 @@ def _segmented_groups(
     its place in its own slice. The sorted slices are written out before use:
     range boundaries come from sampling, so both readers must see one layout.
     """
-    folded = rows.groupBy(KEY, ITEM).agg(
+    folded = rows.groupBy(*keys, ITEM).agg(
         F.count(F.lit(1)).alias("copies"), *[F.bool_or(f).alias(f) for f in flags]
     )
     if distinct:
         folded = folded.withColumn("copies", F.lit(1).cast("bigint"))
-    sorted_rows = reliable_checkpoint(
-        folded.repartitionByRange(KEY, ITEM)
-        .sortWithinPartitions(KEY, ITEM)
+    sorted_rows = written(
+        folded.repartitionByRange(*keys, ITEM)
+        .sortWithinPartitions(*keys, ITEM)
         .withColumn("slice", F.spark_partition_id())
         .withColumn("row", F.monotonically_increasing_id())
     )
 
-    earlier = Window.partitionBy(KEY).orderBy("slice")
-    whole = Window.partitionBy(KEY)
+    # Few rows per key: one for every task that holds some of the key.
+    earlier = Window.partitionBy(*keys).orderBy("slice")
+    whole = Window.partitionBy(*keys)
     slices = (
-        sorted_rows.groupBy(KEY, "slice")
-        .agg(F.sum("copies").alias("held"), *[F.bool_or(f).alias(f) for f in flags])
+        sorted_rows.groupBy(*keys, "slice")
+        .agg(
+            F.sum("copies").alias("held"),
+            F.min("row").alias("first_row"),
+            *[F.bool_or(f).alias(f) for f in flags],
+        )
         .select(
-            KEY,
+            *keys,
             "slice",
+            "first_row",
             (F.sum("held").over(earlier) - F.col("held")).alias("before"),
             F.sum("held").over(whole).alias("group_size"),
             *[F.bool_or(f).over(whole).alias(f) for f in flags],
         )
     )
 
-    in_slice = Window.partitionBy(KEY, "slice").orderBy("row")
-    size = F.lit(segment_size)
+    # Rows of a slice are numbered without gaps, so without copies the place in
+    # the slice is a subtraction; with copies it is a running sum.
+    in_slice = Window.partitionBy(*keys, "slice").orderBy("row")
+    upto = F.sum("copies").over(in_slice)
+    if distinct:
+        upto = F.col("row") - F.col("first_row") + 1
     placed = (
-        sorted_rows.select(
-            KEY, ITEM, "slice", "copies", F.sum("copies").over(in_slice).alias("upto")
-        )
-        .join(slices, [KEY, "slice"])
+        _join(sorted_rows.drop(*flags), slices, [*keys, "slice"], "inner")
+        .withColumn("upto", upto)
         .withColumn("first", F.col("before") + F.col("upto") - F.col("copies"))
         .withColumn("last", F.col("before") + F.col("upto") - 1)
-        .withColumn(
-            "segment",
-            F.explode(
-                F.sequence(F.expr(f"first div {segment_size}"), F.expr(f"last div {segment_size}"))
-            ),
-        )
     )
+    placed = _in_segments(placed, segment_size)
     # The share of an item's copies that falls into this segment.
-    start = F.greatest(F.col("first"), F.col("segment") * size)
-    end = F.least(F.col("last"), F.col("segment") * size + size - 1)
+    start = F.greatest(F.col("first"), F.col("segment") * segment_size)
+    end = F.least(F.col("last"), (F.col("segment") + 1) * segment_size - 1)
     entry = F.struct(F.col(ITEM), (end - start + 1).cast("int").alias("times"))
     return (
-        placed.groupBy(KEY, "segment")
+        placed.groupBy(*keys, "segment")
         .agg(
             F.first("group_size").alias("group_size"),
             *[F.first(f).alias(f) for f in flags],
             F.sort_array(F.collect_list(entry)).alias("entries"),
         )
         .select(
-            KEY,
+            *keys,
             "segment",
             "group_size",
             *flags,

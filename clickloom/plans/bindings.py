@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a text table that is stored in too few pieces.
+    """Use all cores on a table that is stored in too few pieces.
 
     A table in many files already has more pieces than cores and is left as
     it is, without a shuffle.
@@ -136,7 +136,7 @@ def vehicle_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("edit"),
         F.when(F.col("l_linestatus") == "F", "badges").otherwise("contact form"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
         F.col("l_orderkey").cast("string").alias("userID"),
         event.alias("event"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("timestamp"),

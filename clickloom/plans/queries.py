@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.events import parse_city_events, parse_events
-from clickloom.functions.rendering import city_events_text, counts_text, statistics_text
+from clickloom.functions.rendering import city_events_text, counts_text
 from clickloom.operators import counters, layout, session_filter, subtype_statistics
 from clickloom.operators import vehicle_activity, vehicle_reports, word_statistics
 from clickloom.operators.histogram import field_histogram as histogram
@@ -275,14 +275,6 @@ def vin_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vehicle_reports.vehicle_event_counts(bindings.vehicle_lines(spark, sf_dir))
 
 
-def word_stats_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = word_stats(spark, sf_dir)
-    return stats.select(
-        "word",
-        statistics_text(F.col("document_count"), F.col("mean"), F.col("variance")).alias("stats"),
-    )
-
-
 QUERIES: dict[str, Query] = {
     "word_count": word_count,
     "word_count_sorted": word_count_sorted,

@@ -1,8 +1,9 @@
-"""Session settings and the shared checkpoint folder."""
+"""Session settings and tables in the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,19 +28,29 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that all executors share, named by ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a folder of its own.
+    Only a local session without that setting gets a folder of its own.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="clickloom-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="clickloom-")
+        spark.sparkContext.setCheckpointDir(folder)
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    This fixes the rows and cuts their lineage, and survives lost executors.
+    A Parquet table, unlike a checkpoint, lets each reader take its columns
+    only and tells the optimizer its size.
+    """
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

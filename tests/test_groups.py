@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import groups
 from clickloom.operators.groups import ordered_groups
+from clickloom.session import written
 
 
 def skewed_rows(seed):
@@ -36,6 +37,7 @@ def brute_force(rows, distinct, size):
 @pytest.mark.parametrize("size, broadcast_keys", [(10_000, 10_000), (20, 10_000), (20, 0), (1, 10_000)])
 def test_segments_match_brute_force(spark, monkeypatch, distinct, size, broadcast_keys):
     monkeypatch.setattr(groups, "BROADCAST_KEYS", broadcast_keys)
+    monkeypatch.setattr(groups, "SEGMENT_BLOCK", 3)
     rows = skewed_rows(size)
     df = spark.createDataFrame(rows, "key string, n int, tag string").repartition(5)
     got = ordered_groups(
@@ -63,3 +65,26 @@ def test_two_keys_and_empty_input(spark):
         ("a", None, 1, [2]),
     ]
     assert ordered_groups(df.limit(0), ["u"], F.col("n"), distinct=True, segment_size=1).count() == 0
+
+
+def test_hot_key_is_spread_over_tasks(spark, monkeypatch):
+    tables = []
+
+    def keep(df):
+        tables.append(written(df))
+        return tables[-1]
+
+    # At this size the runtime would merge the slices again.
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    monkeypatch.setattr(groups, "written", keep)
+    rows = [("hot", n, "x") for n in range(4_000)] + [(f"k{n}", n, "x") for n in range(40)]
+    df = spark.createDataFrame(rows, "key string, n int, tag string")
+    try:
+        got = ordered_groups(df, ["key"], F.col("n"), distinct=True, segment_size=100).collect()
+    finally:
+        spark.conf.set(merging, "true")
+    hot = [r for r in got if r["key"] == "hot"]
+    assert [i for r in sorted(hot, key=lambda r: r["segment"]) for i in r["items"]] == list(range(4_000))
+    per_task = [r["count"] for r in tables[0].groupBy("slice").count().collect()]
+    assert len(per_task) > 1 and max(per_task) < 3_000

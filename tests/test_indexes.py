@@ -9,8 +9,8 @@ from clickloom.operators.inverted_index import (
 )
 
 EMAIL = (
-    "Message-ID: <20649000.1075849805850.JavaMail.evans@thyme>\t From: rob.gay@enron.com\t"
-    "To: jose.reis@enron.com\tSubject: Re: EPE Dispatch"
+    "Message-ID: <100.200.Mail@host>\t From: ann@example.org\t"
+    "To: bo@example.org\tSubject: Re: a subject"
 )
 
 
@@ -19,10 +19,10 @@ def addresses(df):
 
 
 def test_email_from_and_to(lines):
-    message = "<20649000.1075849805850.JavaMail.evans@thyme>"
+    message = "<100.200.Mail@host>"
     assert addresses(lines(EMAIL)) == [
-        ("From:rob.gay@enron.com", message),
-        ("To:jose.reis@enron.com", message),
+        ("From:ann@example.org", message),
+        ("To:bo@example.org", message),
     ]
 
 
