@@ -16,9 +16,6 @@ from pyspark.sql import functions as F
 
 from clickloom.session import written
 
-# At most this many keys are gathered and broadcast; more stay distributed.
-BROADCAST_KEYS = 10_000
-
 # Segments generated at a time for one item with very many copies.
 SEGMENT_BLOCK = 1_000
 
@@ -33,15 +30,14 @@ def _join(left: DataFrame, right: DataFrame, names: list[str], how: str) -> Data
 
 
 def crowded_keys(rows: DataFrame, keys: list[str], limit: int) -> DataFrame | None:
-    """Keys with more than ``limit`` rows, or None when there are none."""
+    """Keys with more than ``limit`` rows, or None when there are none.
+
+    The keys are a written table, so the optimizer knows their size and
+    broadcasts them only below its threshold.
+    """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    crowded = counts.filter(F.col("n") > limit).select(*keys)
-    found = crowded.limit(BROADCAST_KEYS + 1).collect()
-    if not found:
-        return None
-    if len(found) <= BROADCAST_KEYS:
-        return F.broadcast(rows.sparkSession.createDataFrame(found, crowded.schema))
-    return written(crowded)
+    crowded = written(counts.filter(F.col("n") > limit).select(*keys))
+    return None if crowded.isEmpty() else crowded
 
 
 def ordered_groups(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clickloom import sinks, sources
 from clickloom.functions.events import parse_city_events, parse_events
 from clickloom.functions.rendering import city_events_text, counts_text, statistics_text
-from clickloom.operators import layout, session_filter, subtype_statistics
+from clickloom.operators import counters, layout, session_filter, subtype_statistics
 from clickloom.operators import vehicle_activity, vehicle_reports, word_statistics
 from clickloom.operators.histogram import field_histogram
 from clickloom.operators.inverted_index import (
@@ -40,6 +40,13 @@ def count_words_sorted(spark: SparkSession, inputs: Inputs, output: str) -> None
     sinks.write_tuples(sorted_by_word(word_count(lines, F.col("value"))), output)
 
 
+def report_word_counters(spark: SparkSession, inputs: Inputs, output: str) -> None:
+    """Lines read, words and groups written by a word count."""
+    lines = sources.read_lines(spark, inputs)
+    totals = counters.word_counters(lines, word_count(lines, F.col("value")))
+    sinks.write_tab_separated(totals, output)
+
+
 def describe_words(spark: SparkSession, inputs: Inputs, output: str) -> None:
     """Word, then ``count,mean,variance``."""
     stats = word_statistics.word_statistics(sources.read_lines(spark, inputs), F.col("value"))
@@ -106,20 +113,32 @@ def bin_sessions(spark: SparkSession, inputs: Inputs, output: str) -> None:
     sinks.write_routed(session_filter.classify_sessions(_small_sessions(spark, inputs)), output)
 
 
+def report_filter_counters(spark: SparkSession, inputs: Inputs, output: str) -> None:
+    """Sessions read, and discarded as large or by sampling, in a session filter."""
+    # A long session takes several rows; its first one stands for it.
+    sessions = sources.read_records(spark, inputs).filter(F.col("segment") == 0)
+    typed = session_filter.classify_sessions(sessions)
+    sinks.write_tab_separated(session_filter.filter_counters(typed, ["user_id"]), output)
+
+
 def describe_sessions(spark: SparkSession, inputs: Inputs, output: str) -> None:
     """Subtype statistics per session type and over all of them."""
     profiles = session_filter.nested_profiles(_small_sessions(spark, inputs), ["user_id"])
     sinks.write_tab_separated(subtype_statistics.subtype_statistics_any(profiles), output)
 
 
-def build_city_sessions(spark: SparkSession, inputs: Inputs, output: str) -> None:
-    """Sampled user and city sessions, one folder per city bucket."""
+def _city_events(spark: SparkSession, inputs: Inputs) -> DataFrame:
     first, *others = [parse_city_events(sources.read_click_log(spark, p)) for p in inputs]
     events = first
     for other in others:
         events = layout.union_events(events, other)
-    sessions = session_filter.sample_showers(session_filter.city_sessions(events))
-    rows = sessions.select(
+    return events
+
+
+def build_city_sessions(spark: SparkSession, inputs: Inputs, output: str) -> None:
+    """Sampled user and city sessions, one folder per city bucket."""
+    sessions = session_filter.city_sessions(_city_events(spark, inputs))
+    rows = session_filter.sample_showers(sessions).select(
         "user_id",
         "city",
         "segment",
@@ -129,6 +148,12 @@ def build_city_sessions(spark: SparkSession, inputs: Inputs, output: str) -> Non
     sinks.write_city_buckets(rows, output, ["user_id", "city", "segment"])
 
 
+def report_city_metrics(spark: SparkSession, inputs: Inputs, output: str) -> None:
+    """Events and sessions before and after the sample of city sessions."""
+    metrics = session_filter.city_session_metrics(_city_events(spark, inputs))
+    sinks.write_tab_separated(metrics, output)
+
+
 def report_vehicles(spark: SparkSession, inputs: Inputs, output: str) -> None:
     """Three CSV reports: prices, mileage, events per vehicle."""
     rows = sources.read_vehicles(spark, inputs)
@@ -145,6 +170,7 @@ def report_vehicles(spark: SparkSession, inputs: Inputs, output: str) -> None:
 JOBS: dict[str, Callable[[SparkSession, Inputs, str], None]] = {
     "word-count": count_words,
     "word-count-sorted": count_words_sorted,
+    "word-counters": report_word_counters,
     "word-statistics": describe_words,
     "word-statistics-full": describe_words_fully,
     "email-index": index_emails,
@@ -155,8 +181,10 @@ JOBS: dict[str, Callable[[SparkSession, Inputs, str], None]] = {
     "vehicle-impressions": join_impressions,
     "session-filter": filter_sessions,
     "session-bins": bin_sessions,
+    "session-filter-counters": report_filter_counters,
     "session-statistics": describe_sessions,
     "city-sessions": build_city_sessions,
+    "city-session-metrics": report_city_metrics,
     "vehicle-reports": report_vehicles,
 }
 

@@ -34,9 +34,8 @@ def brute_force(rows, distinct, size):
 
 
 @pytest.mark.parametrize("distinct", [True, False])
-@pytest.mark.parametrize("size, broadcast_keys", [(10_000, 10_000), (20, 10_000), (20, 0), (1, 10_000)])
-def test_segments_match_brute_force(spark, monkeypatch, distinct, size, broadcast_keys):
-    monkeypatch.setattr(groups, "BROADCAST_KEYS", broadcast_keys)
+@pytest.mark.parametrize("size, broadcast", [(10_000, True), (20, True), (20, False), (1, True)])
+def test_segments_match_brute_force(spark, monkeypatch, distinct, size, broadcast):
     monkeypatch.setattr(groups, "SEGMENT_BLOCK", 3)
     rows = skewed_rows(size)
     df = spark.createDataFrame(rows, "key string, n int, tag string").repartition(5)
@@ -49,9 +48,16 @@ def test_segments_match_brute_force(spark, monkeypatch, distinct, size, broadcas
         any_of={"has_x": F.col("tag") == "x"},
     )
     assert got.columns == ["key", "segment", "group_size", "has_x", "items"]
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    if not broadcast:
+        spark.conf.set(threshold, "-1")
+    try:
+        result = got.collect()
+    finally:
+        spark.conf.unset(threshold)
     found = {
         (r["key"], r["segment"]): (r["group_size"], r["has_x"], [tuple(i) for i in r["items"]])
-        for r in got.collect()
+        for r in result
     }
     assert found == brute_force(rows, distinct, size)
     assert all(len(items) <= size for _, _, items in found.values())
@@ -86,5 +92,5 @@ def test_hot_key_is_spread_over_tasks(spark, monkeypatch):
         spark.conf.set(merging, "true")
     hot = [r for r in got if r["key"] == "hot"]
     assert [i for r in sorted(hot, key=lambda r: r["segment"]) for i in r["items"]] == list(range(4_000))
-    per_task = [r["count"] for r in tables[0].groupBy("slice").count().collect()]
+    per_task = [r["count"] for r in tables[1].groupBy("slice").count().collect()]
     assert len(per_task) > 1 and max(per_task) < 3_000

@@ -130,6 +130,18 @@ def test_session_statistics(spark, sessions, out):
     assert "ANY\tCONTACT_FORM\t2\t1\t1\t0.5\t0.25" in got
 
 
+def test_counter_jobs(spark, sessions, write, out, tmp_path):
+    JOBS["word-counters"](spark, [write("w", "a b", "a")], out)
+    assert read(spark, out) == ["groups_out\t2", "input_lines\t2", "words_out\t3"]
+    filtered = str(tmp_path / "filter")
+    JOBS["session-filter-counters"](spark, [sessions], filtered)
+    assert read(spark, filtered) == ["3\t1\t0\t0"]
+    metrics = str(tmp_path / "metrics")
+    click = line(event_type="click badges")
+    JOBS["city-session-metrics"](spark, [write("a", click), write("b", click, line(city="Waco"))], metrics)
+    assert read(spark, metrics) == ["2\t2\t2\t0\t0"]
+
+
 def test_city_sessions(spark, write, out):
     a = write("a", line(event_type="click badges"), line(city="Waco", event_type="click badges"))
     b = write("b", line(event_type="click badges"))
