@@ -22,10 +22,16 @@ def one_of(value: Column, domain: Iterable[str]) -> Column:
     return F.when(value.isin(*domain), value)
 
 
-def split_line(line: Column) -> list[Column]:
-    """The 16 click-log columns of a tab-separated line; trailing blanks are NULL."""
-    fields = F.split(F.regexp_replace(line, r"\t++$", ""), r"\t")
-    return [F.get(fields, i).alias(name) for i, name in enumerate(CLICK_LOG_COLUMNS)]
+def click_log_columns(lines: DataFrame, text: Column) -> DataFrame:
+    """The 16 click-log columns of tab-separated lines; trailing blanks are NULL.
+
+    The split array is a column of its own, so a line is split once however
+    many fields a query reads.
+    """
+    fields = F.split(F.regexp_replace(text, r"\t++$", ""), r"\t")
+    return lines.select(fields.alias("fields")).select(
+        *[F.get("fields", F.lit(i)).alias(name) for i, name in enumerate(CLICK_LOG_COLUMNS)]
+    )
 
 
 def event_type(compound: Column) -> Column:

@@ -21,6 +21,12 @@ SEGMENT_BLOCK = 1_000
 
 ITEM = "item"
 
+# Columns the operator makes; keys and flags need other names.
+OWN_COLUMNS = frozenset(
+    "item items segment group_size copies slice row held before first_row upto first last "
+    "block entries n".split()
+)
+
 
 def _join(left: DataFrame, right: DataFrame, names: list[str], how: str) -> DataFrame:
     """Equi-join on the named columns, with NULL equal to NULL."""
@@ -57,6 +63,8 @@ def ordered_groups(
     """
     conditions = dict(any_of or {})
     flags = list(conditions)
+    if taken := OWN_COLUMNS.intersection([*keys, *flags]):
+        raise ValueError(f"column names used inside: {sorted(taken)}")
     rows = rows.select(
         *keys,
         item.alias(ITEM),

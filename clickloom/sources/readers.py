@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.functions.events import split_line
+from clickloom.functions.events import click_log_columns
 from clickloom.schemas import IMPRESSION_SCHEMA, VEHICLE_COLUMNS
 
 Paths = str | list[str]
@@ -23,7 +23,7 @@ def read_click_log(spark: SparkSession, paths: Paths) -> DataFrame:
     Lines are split as text, not as CSV: a quote is an ordinary character and
     a blank field in mid-line stays a blank.
     """
-    return read_lines(spark, paths).select(*split_line(F.col("value")))
+    return click_log_columns(read_lines(spark, paths), F.col("value"))
 
 
 def read_impressions(spark: SparkSession, paths: Paths) -> DataFrame:

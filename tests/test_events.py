@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from clickloom.functions.events import parse_city_events, parse_events, split_line
+from clickloom.functions.events import click_log_columns, parse_city_events, parse_events
 from clickloom.operators.histogram import field_histogram
 from clickloom.operators.sessionize import session_events, sessionize
 from clickloom.schemas import CLICK_LOG_COLUMNS
@@ -33,7 +33,7 @@ def line(**changes):
 @pytest.fixture
 def log(lines):
     def make(*texts):
-        return lines(*texts).select(*split_line(F.col("value")))
+        return click_log_columns(lines(*texts), F.col("value"))
 
     return make
 
