@@ -25,7 +25,7 @@ from clickloom.operators.inverted_index import (
 )
 from clickloom.operators.sessionize import session_events, sessionize
 from clickloom.operators.word_count import sorted_by_word, word_count
-from clickloom.session import build_session
+from clickloom.session import build_session, drop_tables
 
 Inputs = list[str]
 
@@ -196,7 +196,10 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("output", help="output folder")
     args = parser.parse_args(argv)
     spark = build_session(f"clickloom-{args.job}")
-    JOBS[args.job](spark, args.inputs, args.output)
+    try:
+        JOBS[args.job](spark, args.inputs, args.output)
+    finally:
+        drop_tables(spark)
 
 
 if __name__ == "__main__":

@@ -78,6 +78,8 @@ if __name__ == "__main__":
     for name in sys.argv[2:] or queries:
         begin = time.time()
         try:
+            if name not in oracle:
+                continue
             result = difference(queries[name](spark, sf), con, oracle[name])
         except Exception as error:
             result = f"ERROR {error!s:.800}"
