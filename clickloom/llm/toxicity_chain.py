@@ -26,8 +26,8 @@ from clickloom.session import written
 MAX_LABELLED = 20_000
 FOLDS = 3
 # Words that at least this share of the sampled documents hold, and how many.
-MIN_SHARE, MAX_WORDS = 0.003, 1 << 15
-ITERATIONS, PENALTY, SPARSE = 25, 0.002, 0.5
+MIN_SHARE, MAX_WORDS = 0.005, 1 << 15
+ITERATIONS, PENALTY, SPARSE = 25, 0.002, 1.0
 HASH_RANGE = 1_000_000
 # Categories in chain order, made of the columns of the labels table.
 CATEGORIES = ("toxic", "low_quality", "toxic_low_quality")
