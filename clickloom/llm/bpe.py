@@ -22,6 +22,7 @@ import json
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,9 @@ BLANKS = regex.compile(r"\p{White_Space}+")
 # Python splits at these too, but they are no white space.
 SEPARATORS = regex.compile("[\x1c-\x1f]")
 # Words up to this many characters are kept for reuse, and this many of them.
-REUSED_CHARS, REUSED_WORDS = 48, 300_000
+REUSED_CHARS, REUSED_WORDS = 48, 100_000
 # Remembered answers on whether two tokens can be neighbours.
-REUSED_PAIRS = 500_000
+REUSED_PAIRS = 200_000
 # Words whose tokens are joined before they are digested.
 DIGEST_WORDS = 50_000
 
@@ -306,6 +307,13 @@ class Codec:
         found = "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True)))
         self.special = regex.compile(f"({found})") if found else None
 
+    def forget(self) -> None:
+        """Give the remembered words back; the vocabulary stays."""
+        for known in (self.words, self.parts):
+            known.older = {}
+            known.clear()
+        self.transducer.pairs.clear()
+
     def _encoded(self, part: str) -> bytes:
         found = self.transducer.encode([part.encode("utf-8", "replace")])
         return b"".join([array("I", ids).tobytes() for ids in found])
@@ -355,12 +363,21 @@ def _shared(docs: DataFrame, path: str):
 _CODECS: dict[int, Codec] = {}
 
 
-def _codec(shared) -> Codec:
-    """The codec of this worker process; workers serve many tasks."""
+@contextmanager
+def _codec(shared) -> Iterator[Codec]:
+    """The codec of this worker process, which serves many tasks.
+
+    Between tasks it keeps the vocabulary only: the worker may go on to work
+    that needs the memory.
+    """
     key = hash(shared.value)
     if key not in _CODECS:
+        _CODECS.clear()
         _CODECS[key] = Codec(Vocabulary(shared.value))
-    return _CODECS[key]
+    try:
+        yield _CODECS[key]
+    finally:
+        _CODECS[key].forget()
 
 
 def token_digests(
@@ -374,15 +391,15 @@ def token_digests(
     shared = _shared(docs, path)
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
-        for batch in batches:
-            found = [codec.digest(t.as_py() or "") for t in batch.column(1)]
-            n, ids, decoded = zip(*found) if found else ((),) * 3
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
-                 pa.array(decoded, pa.string())],
-                names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        with _codec(shared) as codec:
+            for batch in batches:
+                found = [codec.digest(t.as_py() or "") for t in batch.column(1)]
+                n, ids, decoded = zip(*found) if found else ((),) * 3
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()),
+                     pa.array(decoded, pa.string())],
+                    names=["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     schema = "id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -394,12 +411,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     shared = _shared(docs, path)
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _codec(shared)
-        for batch in batches:
-            ids = [codec.encode(t.as_py() or "") for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"]
-            )
+        with _codec(shared) as codec:
+            for batch in batches:
+                ids = [codec.encode(t.as_py() or "") for t in batch.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["id", "ids"]
+                )
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(compute, "id bigint, ids array<int>").withColumnRenamed("id", id_col)
@@ -410,16 +427,16 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     shared = _shared(encoded, path)
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _codec(shared).vocabulary
-        for batch in batches:
-            texts = []
-            for ids in batch.column(1).to_pylist():
-                decoder = TextDecoder(vocabulary)
-                pieces = [decoder.push(i) for i in ids or []]
-                texts.append("".join([*pieces, decoder.finish()]).rstrip(" "))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.string())], names=["id", "text"]
-            )
+        with _codec(shared) as codec:
+            for batch in batches:
+                texts = []
+                for ids in batch.column(1).to_pylist():
+                    decoder = TextDecoder(codec.vocabulary)
+                    pieces = [decoder.push(i) for i in ids or []]
+                    texts.append("".join([*pieces, decoder.finish()]).rstrip(" "))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(texts, pa.string())], names=["id", "text"]
+                )
 
     rows = encoded.select(F.col(id_col).cast("bigint").alias("id"), F.col(ids_col).alias("ids"))
     return rows.mapInArrow(compute, "id bigint, text string").withColumnRenamed("id", id_col)

@@ -31,9 +31,11 @@ BLANK = 32
 ASTRAL = 0xFFFF
 SLOTS = 4_194_301  # the largest prime below 2**22
 # Merged n-grams that a counting task holds before it passes them on.
-HELD_GRAMS = 2_000_000
+HELD_GRAMS = 1_000_000
 # Symbols scored at a time.
-SCORED_SYMBOLS = 1 << 20
+SCORED_SYMBOLS = 1 << 18
+# Rows taken out of a batch at a time.
+TAKEN_ROWS = 500
 
 
 def letters_only() -> np.ndarray:
@@ -92,6 +94,13 @@ def grams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return packed[keep], lengths
 
 
+def in_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that few texts are unpacked at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TAKEN_ROWS):
+            yield batch.slice(at, TAKEN_ROWS)
+
+
 def count_grams(rows: DataFrame, table: Callable[[], np.ndarray]) -> DataFrame:
     """``cls, gram, n`` over rows ``cls, text``; NULL classes and texts count nothing."""
 
@@ -112,7 +121,7 @@ def count_grams(rows: DataFrame, table: Callable[[], np.ndarray]) -> DataFrame:
                 )
             held.clear()
 
-        for batch in batches:
+        for batch in in_pieces(batches):
             texts: dict[str, list[np.ndarray]] = {}
             for cls, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 texts.setdefault(cls, []).append(symbols(text, codes))

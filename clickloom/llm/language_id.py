@@ -69,7 +69,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = letters_only()
-        for batch in batches:
+        for batch in char_models.in_pieces(batches):
             texts = [symbols(t or "", table) for t in batch.column(1).to_pylist()]
             lang, score, entropy, rejected = zip(*judge(shared.value, texts)) if texts else ((),) * 4
             yield pa.RecordBatch.from_arrays(

@@ -43,7 +43,7 @@ def perplexities(docs: DataFrame, model: Model) -> DataFrame:
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, model = all_symbols(), shared.value
         number = {cls: i for i, cls in enumerate(model.classes)}
-        for batch in batches:
+        for batch in char_models.in_pieces(batches):
             texts = [symbols(t or "", table) for t in batch.column(2).to_pylist()]
             costs = text_costs(model, texts)
             values = []

@@ -38,7 +38,7 @@ def test_against_every_window(spark):
     expected = {}
     for d in docs.collect():
         for item in known:
-            if set(words(item.text)) & set(words(d.text)):
+            if runs(words(item.text)) & runs(words(d.text)):  # else zero
                 if (value := best(d.text, item.text)) >= 0.8:
                     expected[d.doc_id, item.item_id] = value
     assert expected and got == pytest.approx(expected)
