@@ -5,24 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from clickloom.functions.text import tokens
 
-def word_counters(lines: DataFrame, counts: DataFrame) -> DataFrame:
-    """``counter, value``: lines read, words out of the lines, groups out."""
-    read = lines.agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("input_lines").alias("counter"), "value"
-    )
-    totals = counts.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("words"), F.count(F.lit(1)).alias("groups")
-    )
-    written = totals.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("words_out").alias("counter"), F.col("words").alias("value")),
-                F.struct(F.lit("groups_out").alias("counter"), F.col("groups").alias("value")),
-            )
-        )
+
+def word_counters(lines: DataFrame, text: Column) -> DataFrame:
+    """``counter, value``: lines read, words out of the lines, groups out.
+
+    One pass: every line gives its words, or one NULL where it has none, and
+    its first row counts for the line. Numbers are added up per word, then over
+    all words.
+    """
+    words = lines.select(F.posexplode_outer(tokens(text)).alias("place", "word"))
+    first = F.coalesce(F.col("place"), F.lit(0)) == 0
+    groups = words.groupBy("word").agg(F.count_if(first).alias("lines"), F.count("word").alias("n"))
+    totals = groups.agg(
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("input_lines"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("words_out"),
+        F.count("word").alias("groups_out"),
     )
-    return read.unionByName(written)
+    pairs = [F.struct(F.lit(c).alias("counter"), F.col(c).alias("value")) for c in totals.columns]
+    return totals.select(F.inline(F.array(*pairs)))
 
 
 def observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:

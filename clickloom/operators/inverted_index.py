@@ -65,16 +65,29 @@ def header_index(
 
 
 def verse_words(lines: DataFrame, text: Column) -> DataFrame:
-    """``word, book, chapter, verse`` for the distinct words of each verse line."""
+    """``word, book, chapter, verse`` and labels for the distinct words of each verse line.
+
+    A chapter or verse that is no number stands in ``chapter_label`` or
+    ``verse_label``; it sorts before the numbers and prints as written.
+    """
     words, reference = F.col("words"), F.col("reference")
+
+    def number(place: int) -> Column:
+        return F.get(reference, place).try_cast("bigint")
+
+    def label(place: int) -> Column:
+        return F.when(number(place).isNull(), F.get(reference, place))
+
     return (
         lines.select(tokens(text).alias("words"))
         .select(F.split(F.get(words, 0), ":").alias("reference"), "words")
         .select(
             F.explode(letter_words(F.slice(words, F.lit(2), F.size(words)))).alias("word"),
             F.get(reference, 0).alias("book"),
-            F.get(reference, 1).try_cast("int").alias("chapter"),
-            F.get(reference, 2).try_cast("int").alias("verse"),
+            number(1).alias("chapter"),
+            label(1).alias("chapter_label"),
+            number(2).alias("verse"),
+            label(2).alias("verse_label"),
         )
     )
 
@@ -84,7 +97,7 @@ def verse_index(entries: DataFrame, *, segment_size: int = SEGMENT_POSTINGS) ->
     groups = ordered_groups(
         entries,
         ["word"],
-        F.struct("book", "chapter", "verse"),
+        F.struct("book", "chapter", "chapter_label", "verse", "verse_label"),
         distinct=True,
         segment_size=segment_size,
     )
@@ -93,7 +106,12 @@ def verse_index(entries: DataFrame, *, segment_size: int = SEGMENT_POSTINGS) ->
         "segment",
         F.col("group_size").alias("postings"),
         F.array_join(
-            F.transform("items", lambda r: F.concat_ws(":", r["book"], r["chapter"], r["verse"])),
+            F.transform(
+                "items",
+                lambda r: F.concat_ws(
+                    ":", r["book"], r["chapter"], r["chapter_label"], r["verse"], r["verse_label"]
+                ),
+            ),
             ", ",
         ).alias("verses"),
     )

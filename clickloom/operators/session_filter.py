@@ -40,10 +40,14 @@ def session_profiles(events: DataFrame, keys: list[str]) -> DataFrame:
 def classify_sessions(sessions: DataFrame) -> DataFrame:
     """Add ``session_type`` to nested sessions without a shuffle.
 
-    Meant for sessions that passed ``drop_large_sessions``: these are never
-    split over several rows.
+    Meant for sessions that passed ``drop_large_sessions``. A session that was
+    written in several rows has one type for all of them, which a row alone
+    cannot tell: such a row raises an error instead of getting a type of its own.
     """
-    return sessions.withColumn("session_type", session_type_of(F.col("events")))
+    split = F.size("events") < F.col("session_events")
+    message = F.lit("a session split over several rows has no type by row")
+    kind = F.when(split, F.raise_error(message).cast("string"))
+    return sessions.withColumn("session_type", kind.otherwise(session_type_of(F.col("events"))))
 
 
 def nested_profiles(sessions: DataFrame, keys: list[str]) -> DataFrame:

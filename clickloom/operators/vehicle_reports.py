@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +58,9 @@ def mileage_by_year(rows: DataFrame) -> DataFrame:
     )
 
 
-def vehicle_event_counts(rows: DataFrame, view: str = "vehicle_events") -> DataFrame:
-    """Events per vehicle and first word of the event, over a temporary view."""
+def vehicle_event_counts(rows: DataFrame, view: str | None = None) -> DataFrame:
+    """Events per vehicle and first word of the event, over a temporary view of its own."""
+    view = view or f"vehicle_events_{uuid.uuid4().hex}"
     rows.withColumn("event_type", F.substring_index("event", " ", 1)).createOrReplaceTempView(view)
     return rows.sparkSession.sql(
         f"""

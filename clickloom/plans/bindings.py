@@ -13,20 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table that is stored in too few pieces.
-
-    A table in many files already has more pieces than cores and is left as
-    it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line of each document: ``doc_id, source, line_no, line``."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return spread(documents, "doc_id").select(
+    return documents.select(
         "doc_id", "source", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
 
@@ -62,7 +52,7 @@ def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
         words_of("system"),
         F.lit("Mime-Version: 1.0 X-From:"),
     )
-    return spread(turns, "conv_id").select(line.alias("value"))
+    return turns.select(line.alias("value"))
 
 
 def click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +126,7 @@ def vehicle_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("edit"),
         F.when(F.col("l_linestatus") == "F", "badges").otherwise("contact form"),
     )
-    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("string").alias("userID"),
         event.alias("event"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("timestamp"),
@@ -149,10 +139,10 @@ def vehicle_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_make_and_model(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
-    """Add make and model of each vehicle from the parts table."""
+    """Add make and model of each vehicle from the parts table, if it is listed there."""
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("vin"),
         F.col("p_brand").alias("make"),
         F.col("p_type").alias("model"),
     )
-    return rows.join(parts, "vin").select(*[c for c in VEHICLE_COLUMNS])
+    return rows.join(parts, "vin", "left").select(*[c for c in VEHICLE_COLUMNS])

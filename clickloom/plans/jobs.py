@@ -42,8 +42,7 @@ def count_words_sorted(spark: SparkSession, inputs: Inputs, output: str) -> None
 
 def report_word_counters(spark: SparkSession, inputs: Inputs, output: str) -> None:
     """Lines read, words and groups written by a word count."""
-    lines = sources.read_lines(spark, inputs)
-    totals = counters.word_counters(lines, word_count(lines, F.col("value")))
+    totals = counters.word_counters(sources.read_lines(spark, inputs), F.col("value"))
     sinks.write_tab_separated(totals, output)
 
 
@@ -61,9 +60,9 @@ def describe_words_fully(spark: SparkSession, inputs: Inputs, output: str) -> No
 
 
 def index_emails(spark: SparkSession, inputs: Inputs, output: str) -> None:
-    """Address key and its message ids; a very long list takes several lines."""
+    """Address key and its message ids in key order; a very long list takes several lines."""
     lines = sources.read_lines(spark, inputs)
-    index = header_index(header_addresses(lines, F.col("value")))
+    index = header_index(header_addresses(lines, F.col("value"))).orderBy("key", "segment")
     sinks.write_tab_separated(index.select("key", "message_ids"), output)
 
 

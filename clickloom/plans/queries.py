@@ -44,8 +44,7 @@ def word_count_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = bindings.paragraphs(spark, sf_dir)
-    return counters.word_counters(lines, count_words(lines, F.col("line")))
+    return counters.word_counters(bindings.paragraphs(spark, sf_dir), F.col("line"))
 
 
 def paragraph_words(spark: SparkSession, sf_dir: str) -> DataFrame:

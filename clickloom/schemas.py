@@ -69,11 +69,6 @@ BODY_STYLES = (
     "Wagon",
 )
 CAB_STYLES = ("Crew", "Extended", "Regular")
-SESSION_TYPES = ("submitter", "clicker", "shower", "visitor", "other")
-
-CLICK_LOG_SCHEMA = T.StructType(
-    [T.StructField(name, T.StringType()) for name in CLICK_LOG_COLUMNS]
-)
 
 IMPRESSION_SCHEMA = "vin string, kind string, n long"
 

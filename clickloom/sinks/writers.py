@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.hashing import CITY_BUCKETS, city_bucket
 
-# A report of at most this many rows is small enough for one output task.
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def _texts(df: DataFrame) -> list[Column]:
     return [F.coalesce(F.col(c).cast("string"), F.lit("null")).alias(c) for c in df.columns]
@@ -38,13 +35,13 @@ def write_routed(
     df.write.partitionBy(by).format(fmt).save(path)
 
 
-def write_csv(df: DataFrame, path: str, keys: list[str]) -> None:
-    """CSV in key order: one file for a report, sorted part files beyond its size.
+def write_csv(df: DataFrame, path: str, keys: list[str], single_file: bool = False) -> None:
+    """CSV in key order, in part files that follow each other in name order.
 
-    The part files read in name order give the same lines as the single file.
+    ``single_file`` puts the whole report through one task; it is meant for
+    reports that are known to be small.
     """
-    small = df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
-    rows = df.repartition(1).sortWithinPartitions(*keys) if small else df.orderBy(*keys)
+    rows = df.repartition(1).sortWithinPartitions(*keys) if single_file else df.orderBy(*keys)
     rows.write.csv(path)
 
 

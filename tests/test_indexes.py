@@ -76,3 +76,9 @@ def test_verses_sort_by_book_chapter_verse(lines):
     assert got["the"] == "Exo:2:1, Gen:1:1, Gen:1:2, Gen:1:10"
     assert got["earth"] == "Gen:1:2"
     assert set(got) == {"in", "the", "beginning", "dry", "land", "earth", "man"}
+
+
+def test_large_and_wordy_references_stay_apart(lines):
+    df = lines("Gen:3000000001:1 x", "Gen:3000000000:1 x", "Gen:1:12b x", "Gen:1:12a x", "Gen:1:7 x")
+    (row,) = verse_index(verse_words(df, F.col("value"))).collect()
+    assert row["verses"] == "Gen:1:12a, Gen:1:12b, Gen:1:7, Gen:3000000000:1, Gen:3000000001:1"

@@ -1,10 +1,13 @@
 """Every job from input files to output files."""
 
 import glob
+from functools import partial
 
 import pytest
 
+from clickloom.plans import jobs
 from clickloom.plans.jobs import JOBS, main
+from clickloom.session import tables_folder
 from clickloom.sinks import writers
 from test_events import line
 
@@ -153,9 +156,7 @@ def test_city_sessions(spark, write, out):
     assert {r["city_bucket"] for r in got} <= set(range(6))
 
 
-@pytest.mark.parametrize("single_rows", [1_000_000, 0])
-def test_vehicle_reports(spark, write, out, monkeypatch, single_rows):
-    monkeypatch.setattr(writers, "SINGLE_FILE_ROWS", single_rows)
+def test_vehicle_reports(spark, write, out):
     path = write(
         "v",
         "userID,event,timestamp,vin,condition,year,make,model,price,mileage",
@@ -167,8 +168,29 @@ def test_vehicle_reports(spark, write, out, monkeypatch, single_rows):
     assert in_file_order(f"{out}/make_model") == ["Ford,F,20,20,20.0000", "Kia,K,11,11,11.0000"]
     assert in_file_order(f"{out}/year") == ["2001,60,100,80.0000"]
     assert in_file_order(f"{out}/vin") == ["v1,show,1", "v2,click,1", "v2,show,1"]
-    if single_rows:
-        assert len(glob.glob(f"{out}/vin/part-*")) == 1
+
+
+def test_csv_in_one_file_and_without_a_top_list(spark, out):
+    df = spark.range(50).selectExpr("id % 7 AS a", "id").repartition(5)
+    writers.write_csv(df, f"{out}/one", ["a", "id"], single_file=True)
+    writers.write_csv(df, f"{out}/many", ["a", "id"])
+    assert len(glob.glob(f"{out}/one/part-*")) == 1
+    assert in_file_order(f"{out}/one") == in_file_order(f"{out}/many")
+    assert "TakeOrdered" not in df.orderBy("a", "id")._jdf.queryExecution().toString()
+
+
+def test_long_id_lists_keep_their_order(spark, write, out, monkeypatch):
+    texts = [f"Message-ID: m{i} From: a To: b Subject: s" for i in (3, 1, 5, 2, 4)]
+    monkeypatch.setattr(jobs, "header_index", partial(jobs.header_index, segment_size=2))
+    JOBS["email-index"](spark, [write("a", *texts)], out)
+    lines = [r for r in in_file_order(out) if r.startswith("From:a")]
+    assert [r.split("\t")[1] for r in lines] == ["m1,m2", "m3,m4", "m5"]
+
+
+def test_a_finished_job_leaves_no_table(spark, write, out):
+    main(["verse-index", write("a", "Gen:1:1 in the beginning"), out])
+    folder = tables_folder(spark).removeprefix("file:")
+    assert not glob.glob(f"{folder}/*")
 
 
 def test_command_line(spark, write, out):

@@ -206,3 +206,12 @@ def test_city_flags_cover_all_segments(city_events):
 
 def test_defaults():
     assert session_filter.MAX_EVENTS == 100
+
+
+def test_a_split_session_is_not_typed_by_row(spark):
+    rows = [("u", 30, [("show", "x")] * 20)]
+    split = spark.createDataFrame(
+        rows, "user_id string, session_events long, events array<struct<event_type:string,event_subtype:string>>"
+    )
+    with pytest.raises(Exception, match="no type by row"):
+        classify_sessions(split).collect()

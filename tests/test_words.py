@@ -133,7 +133,7 @@ def test_paragraph_words_against_counting(lines):
 
 def test_counters(lines):
     source = lines("a b", "", "b")
-    got = counters.word_counters(source, word_count(source, F.col("value")))
+    got = counters.word_counters(source, F.col("value"))
     assert dict(rows(got)) == {"input_lines": 3, "words_out": 3, "groups_out": 2}
 
 
