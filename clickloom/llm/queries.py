@@ -107,8 +107,9 @@ ORACLE: dict[str, str] = {
     "op4_top_k": """
         WITH usable AS (
             SELECT vec_id, embedding FROM embeddings
-            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND vec_id NOT IN (
+                SELECT vec_id FROM (SELECT vec_id, unnest(embedding) AS x FROM embeddings)
+                WHERE vec_id IS NOT NULL AND (x IS NULL OR NOT isfinite(x)))
         ),
         part AS (
             SELECT vec_id, i, CAST(floor(256 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
