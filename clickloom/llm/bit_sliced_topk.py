@@ -215,7 +215,9 @@ def top_k(
     # queries against all rows, in blocks.
     addresses = index.select("length", "row_block")
     pairs = asked.withColumnsRenamed({"ids": "query_ids", "packed": "query_packed"}).join(addresses, "length")
-    pairs = pairs.repartition("row_block").join(index.drop("length"), "row_block")
+    # Small rows make much work here, so tasks are not merged by their bytes.
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = pairs.repartition(tasks, "row_block").join(index.drop("length"), "row_block")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held = None, None
