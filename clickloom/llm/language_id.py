@@ -100,7 +100,20 @@ def learn_from_documents(docs: DataFrame) -> Model:
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents, all columns, whose language is not rejected."""
-    found = identify(docs, learn_from_documents(docs))
-    kept = found.filter(~F.col("rejected")).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    """The documents, all columns, whose language is not rejected.
+
+    Every row is judged by its own text, so rows without an id and rows of a
+    repeated id stay or go by themselves. Other columns, whatever their names,
+    pass through. An empty table gives an empty result.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(learn_from_documents(docs))
+    place = docs.columns.index("text")
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = letters_only()
+        for batch in char_models.in_pieces(batches):
+            texts = [symbols(t or "", table) for t in batch.column(place).to_pylist()]
+            kept = [not rejected for *_, rejected in judge(shared.value, texts)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

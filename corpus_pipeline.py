@@ -36,7 +36,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     dropped = written(
         found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("copy")).distinct()
     )
-    kept = docs.join(dropped, F.col("doc_id") == F.col("copy"), "left_anti")
+    kept = docs.join(dropped, docs["doc_id"] == dropped["copy"], "left_anti")
     named = kept.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
     return named.unionByName(kept.filter(F.col("doc_id").isNull()))
 
