@@ -204,4 +204,4 @@ def contaminated(
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents, all columns, that hold no benchmark item."""
     found = written(contaminated(docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct())
-    return docs.join(found, F.col("doc_id") == F.col("leaked"), "left_anti")
+    return docs.join(found, docs["doc_id"] == found["leaked"], "left_anti")
