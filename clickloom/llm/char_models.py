@@ -324,6 +324,8 @@ def _class_numbers(model: Model, arrow: pa.Table) -> np.ndarray:
 def text_costs(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """Sum of -ln p over the symbols of each text, a column per class."""
     out = np.zeros((len(texts), len(model.classes)))
+    if not model.classes:
+        return out
     at = 0
     while at < len(texts):
         stop, held = at, 0
