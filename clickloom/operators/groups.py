@@ -65,10 +65,14 @@ def ordered_groups(
     flags = list(conditions)
     if taken := OWN_COLUMNS.intersection([*keys, *flags]):
         raise ValueError(f"column names used inside: {sorted(taken)}")
-    rows = rows.select(
-        *keys,
-        item.alias(ITEM),
-        *[F.coalesce(c, F.lit(False)).alias(name) for name, c in conditions.items()],
+    # Rows may be dear to derive (parsed or tokenized text), and up to three
+    # readers follow: the count of keys, the small groups and the large ones.
+    rows = written(
+        rows.select(
+            *keys,
+            item.alias(ITEM),
+            *[F.coalesce(c, F.lit(False)).alias(name) for name, c in conditions.items()],
+        )
     )
     crowded = crowded_keys(rows, keys, segment_size)
     if crowded is None:

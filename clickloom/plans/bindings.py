@@ -117,8 +117,15 @@ def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def vehicle_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as vehicle rows, all text, still without make and model."""
+def vehicle_lines(spark: SparkSession, sf_dir: str, nonzero: str | None = None) -> DataFrame:
+    """Line items as vehicle rows, all text, still without make and model.
+
+    ``nonzero`` names a number that must not be zero. It is tested before it
+    becomes text, so that the test reaches the scan.
+    """
+    lines = table(spark, sf_dir, "lineitem")
+    if nonzero:
+        lines = lines.filter(F.col(nonzero) != 0)
     event = F.concat_ws(
         " ",
         F.when(F.col("l_returnflag") == "A", "show")
@@ -126,7 +133,7 @@ def vehicle_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("edit"),
         F.when(F.col("l_linestatus") == "F", "badges").otherwise("contact form"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return lines.select(
         F.col("l_orderkey").cast("string").alias("userID"),
         event.alias("event"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("timestamp"),
@@ -145,4 +152,6 @@ def with_make_and_model(spark: SparkSession, sf_dir: str, rows: DataFrame) -> Da
         F.col("p_brand").alias("make"),
         F.col("p_type").alias("model"),
     )
-    return rows.join(parts, "vin", "left").select(*[c for c in VEHICLE_COLUMNS])
+    return rows.join(parts, "vin", "left").select(
+        *[c for c in VEHICLE_COLUMNS if c in (*rows.columns, "make", "model")]
+    )

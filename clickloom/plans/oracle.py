@@ -323,11 +323,12 @@ VEHICLE_LINES = """
 """
 
 
-def _one_per_vin(nonzero: str) -> str:
+def _one_per_vin(
+    nonzero: str, order: str = '"userID", event, "timestamp", condition, year, price, mileage'
+) -> str:
     return f"""
     SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY vin ORDER BY "userID", event, "timestamp",
-                                     condition, year, price, mileage) AS place
+        SELECT *, row_number() OVER (PARTITION BY vin ORDER BY {order}) AS place
         FROM ({VEHICLE_LINES}) WHERE {nonzero} <> 0)
     WHERE place = 1
     """
@@ -424,14 +425,17 @@ ORACLE: dict[str, str] = {
                CAST(min(CAST(price AS DECIMAL(10, 0))) AS BIGINT) AS min_price,
                CAST(max(CAST(price AS DECIMAL(10, 0))) AS BIGINT) AS max_price,
                round(avg(CAST(CAST(price AS DECIMAL(10, 0)) AS DOUBLE)), 4) AS avg_price
-        FROM ({DISTINCT_VIN}) GROUP BY make, model
+        FROM (SELECT p_brand AS make, p_type AS model, price
+              FROM ({_one_per_vin("l_extendedprice", "price")})
+              LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = vin)
+        GROUP BY make, model
     """,
     "mileage_by_year": f"""
         SELECT year,
                CAST(min(CAST(mileage AS DECIMAL(10, 0))) AS BIGINT) AS min_mileage,
                CAST(max(CAST(mileage AS DECIMAL(10, 0))) AS BIGINT) AS max_mileage,
                round(avg(CAST(CAST(mileage AS DECIMAL(10, 0)) AS DOUBLE)), 4) AS avg_mileage
-        FROM ({_one_per_vin("l_quantity")}) GROUP BY year
+        FROM ({_one_per_vin("l_quantity", "year, mileage")}) GROUP BY year
     """,
     "vin_event_counts": f"""
         SELECT vin, string_split(event, ' ')[1] AS event, count(*) AS events

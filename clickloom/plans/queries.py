@@ -237,20 +237,25 @@ def vin_impressions_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.withColumn("clicks", counts_text(F.col("clicks")))
 
 
-def _one_listing_per_vin(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
-    # Make and model depend on the vehicle alone, so they are looked up for
-    # one row per vehicle and not for every line.
-    lines = vehicle_reports.listed(bindings.vehicle_lines(spark, sf_dir), column)
-    return vehicle_reports.one_per_key(lines, "vin")
+def _one_listing_per_vin(
+    spark: SparkSession, sf_dir: str, nonzero: str, columns: list[str] | None = None
+) -> DataFrame:
+    """One row per vehicle, of the given columns only."""
+    lines = bindings.vehicle_lines(spark, sf_dir, nonzero)
+    return vehicle_reports.one_per_key(lines.select(columns or lines.columns), "vin")
 
 
 def distinct_vin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _one_listing_per_vin(spark, sf_dir, "price")
+    # Make and model depend on the vehicle alone, so they are looked up for
+    # one row per vehicle and not for every line.
+    rows = _one_listing_per_vin(spark, sf_dir, "l_extendedprice")
     return bindings.with_make_and_model(spark, sf_dir, rows)
 
 
 def price_by_make_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = vehicle_reports.price_by_make_model(distinct_vin(spark, sf_dir))
+    rows = _one_listing_per_vin(spark, sf_dir, "l_extendedprice", ["vin", "price"])
+    listed = bindings.with_make_and_model(spark, sf_dir, rows)
+    report = vehicle_reports.price_by_make_model(listed)
     return report.select(
         "make",
         "model",
@@ -261,7 +266,8 @@ def price_by_make_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mileage_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = vehicle_reports.mileage_by_year(_one_listing_per_vin(spark, sf_dir, "mileage"))
+    rows = _one_listing_per_vin(spark, sf_dir, "l_quantity", ["vin", "year", "mileage"])
+    report = vehicle_reports.mileage_by_year(rows)
     return report.select(
         "year",
         F.col("min_mileage").cast("bigint").alias("min_mileage"),

@@ -65,8 +65,25 @@ def test_duplicate_vehicles_merge_before_the_shuffle(spark):
 def test_crowded_keys_read_the_key_only(spark, monkeypatch):
     from clickloom.operators import groups
 
-    seen = []
-    monkeypatch.setattr(groups, "written", lambda df: seen.append(df) or df.cache())
+    seen, write = [], groups.written
+    monkeypatch.setattr(groups, "written", lambda df: seen.append(plan(df)) or write(df))
     rows = spark.read.parquet(f"{SF_DIR}/events.parquet").select("user_id", "event_type", "value")
     groups.ordered_groups(rows, ["user_id"], F.col("value"), distinct=True, segment_size=10_000)
-    assert "ReadSchema: struct<user_id:bigint>" in plan(seen[0])
+    assert "ReadSchema: struct<user_id:bigint>" in seen[1]
+
+
+@pytest.mark.parametrize("name", ["verse_index_segments", "user_session_segments", "header_index"])
+def test_groups_derive_their_rows_once(spark, monkeypatch, name):
+    from clickloom.operators import groups
+
+    seen, write = [], groups.written
+    monkeypatch.setattr(groups, "written", lambda df: seen.append(plan(df)) or write(df))
+    result = plan(QUERIES[name](spark, SF_DIR))
+    assert [SF_DIR in text for text in [*seen, result]] == [True] + [False] * len(seen)
+
+
+def test_mileage_report_reads_its_own_columns(spark):
+    text = plan(QUERIES["mileage_by_year"](spark, SF_DIR))
+    (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert {c.split(":")[0] for c in schema.split(",")} == {"l_partkey", "l_quantity", "l_shipdate"}
+    assert re.search(r"PushedFilters: \[[^\]]*l_quantity[^\]]*0", text)
