@@ -4,8 +4,8 @@ A given rule names a host, with all its subdomains, and the start of a path;
 the longest one that fits decides. Where none fits, rules mined from labelled
 pages decide: Spark's FP-growth finds combinations of URL tokens that go with a
 label, and those with enough support and confidence are kept. Rules of both
-kinds are found by an inverted index, from a host or a token to the rules that
-hold it, so no URL is compared with all rules. Everything is DataFrame, SQL and
+kinds are found by an inverted index, from a host or a rule's rarest token to
+the rules, so no URL is compared with all rules. Everything is DataFrame, SQL and
 MLlib code of the JVM.
 """
 
@@ -70,7 +70,7 @@ def domains_of(host: str) -> Column:
 
 
 def tokens_of(url: Column, host: str, path: str) -> Column:
-    """Distinct tokens: scheme, domains, path pieces, their shapes, query names, fragment."""
+    """Distinct tokens in order: scheme, domains, path pieces, their shapes, query names, fragment."""
     scheme = F.when(F.instr(url, "://") > 0, F.concat(F.lit("scheme="), F.lower(F.substring_index(url, "://", 1))))
     domains = F.transform(domains_of(host), lambda d: F.concat(F.lit("host="), d))
     pieces = F.transform(
@@ -81,7 +81,7 @@ def tokens_of(url: Column, host: str, path: str) -> Column:
     names = F.transform(query, lambda p: F.concat(F.lit("query="), F.substring_index(p, "=", 1)))
     fragment = F.when(F.instr(url, "#") > 0, F.lit("fragment"))
     found = F.concat(F.array(scheme, fragment), domains, pieces, names)
-    return F.array_distinct(F.filter(found, lambda t: t.isNotNull() & (t != "host=")))
+    return F.array_sort(F.array_distinct(F.filter(found, lambda t: t.isNotNull() & (t != "host="))))
 
 
 def rule_table(spark: SparkSession, rules: tuple[Rule, ...]) -> DataFrame:
@@ -142,25 +142,56 @@ def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence:
     )
 
 
+def without_redundant(rules: DataFrame) -> DataFrame:
+    """The rules without those that a shorter one makes needless.
+
+    If a rule less one token has the same verdict and is as sure, it fits
+    wherever the longer one fits and has at least its support, so the longer
+    one never decides alone.
+    """
+    shorter = rules.select(
+        F.col("tokens").alias("kept_tokens"), F.col("mined_verdict").alias("same_verdict"),
+        F.col("confidence").alias("as_sure"),
+    )
+    parts = rules.filter(F.col("size") > 1).select(
+        "rule_id", "mined_verdict", "confidence",
+        F.explode(F.transform("tokens", lambda t: F.array_remove("tokens", t))).alias("part"),
+    )
+    needless = parts.join(
+        shorter,
+        (F.col("part") == F.col("kept_tokens"))
+        & (F.col("mined_verdict") == F.col("same_verdict"))
+        & (F.col("as_sure") >= F.col("confidence")),
+    ).select("rule_id", "mined_verdict")
+    return rules.join(needless, ["rule_id", "mined_verdict"], "left_anti")
+
+
 def mined_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``url, mined_verdict, confidence`` of the surest mined rule, for urls that have one.
 
-    A rule fits if the url has all its tokens. Among equally sure rules that
-    with more support counts, then that which blocks.
+    ``urls`` holds ``url, tokens``. A rule fits if the url has all its tokens.
+    Among equally sure rules that with more support counts, then that which
+    blocks. Each rule stands in the index under its rarest token alone, and is
+    compared with the distinct token sets that hold this token.
     """
-    index = rules.select(F.explode("tokens").alias("token"), "rule_id", "size")
-    held = urls.select("url", F.explode("tokens").alias("token"))
-    fits = (
-        held.join(index, "token")
-        .groupBy("url", "rule_id", "size")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") == F.col("size"))
-        .join(rules.select("rule_id", "mined_verdict", "confidence", "support"), "rule_id")
+    sets = written(urls.select("tokens").distinct())
+    held = sets.select("tokens", F.explode("tokens").alias("token"))
+    frequency = held.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    rules = written(without_redundant(rules)).withColumnRenamed("tokens", "rule_tokens")
+    index = written(
+        rules.withColumn("token", F.explode("rule_tokens"))
+        .join(frequency, "token")
+        .groupBy("rule_tokens", "mined_verdict", "confidence", "support")
+        .agg(F.min_by("token", F.struct("n", "token")).alias("token"))
     )
     rank = F.struct("confidence", "support", (F.col("mined_verdict") == BLOCK).alias("blocks"), "mined_verdict")
-    return fits.groupBy("url").agg(F.max(rank).alias("best")).select(
-        "url", "best.mined_verdict", "best.confidence"
+    best = written(
+        held.join(index, "token")
+        .filter(F.forall("rule_tokens", lambda t: F.array_contains("tokens", t)))
+        .groupBy("tokens")
+        .agg(F.max(rank).alias("best"))
     )
+    return urls.select("url", "tokens").join(best, "tokens").select("url", "best.mined_verdict", "best.confidence")
 
 
 def judge_urls(
