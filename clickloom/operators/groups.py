@@ -54,13 +54,20 @@ def ordered_groups(
     distinct: bool,
     segment_size: int,
     any_of: Mapping[str, Column] | None = None,
+    keep: Column | None = None,
+    max_items: int | None = None,
 ) -> DataFrame:
     """Sorted item arrays per key: ``keys, segment, group_size, flags, items``.
 
     ``item`` is an orderable column; its natural order sorts the group.
     ``distinct`` drops equal items. ``any_of`` names row conditions; each
     becomes a column telling whether any row of the whole group meets it.
+    ``keep`` is a condition on keys and flags, and ``max_items`` the largest
+    size: groups that fail either are left out before any of their items is
+    gathered.
     """
+    if max_items is not None and max_items > segment_size:
+        raise ValueError(f"max_items is at most {segment_size}, the size of one row")
     conditions = dict(any_of or {})
     flags = list(conditions)
     if taken := OWN_COLUMNS.intersection([*keys, *flags]):
@@ -74,16 +81,36 @@ def ordered_groups(
             *[F.coalesce(c, F.lit(False)).alias(name) for name, c in conditions.items()],
         )
     )
-    crowded = crowded_keys(rows, keys, segment_size)
+    if keep is not None:
+        dropped = F.coalesce(~keep, F.lit(False))
+        states = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *[F.bool_or(f).alias(f) for f in flags])
+        rows = _join(rows, written(states.filter(dropped).select(*keys)), keys, "left_anti")
+    limit = segment_size if max_items is None else max_items
+    crowded = crowded_keys(rows, keys, limit)
     if crowded is None:
         return _whole_groups(rows, keys, flags, distinct)
     small = _join(rows, crowded, keys, "left_anti")
+    if max_items is not None and not distinct:
+        return _whole_groups(small, keys, flags, distinct)
     large = _join(rows, crowded, keys, "left_semi")
+    if max_items is not None:
+        small = small.unionByName(_few_items(large, keys, flags, max_items))
+        return _whole_groups(small, keys, flags, distinct)
     return _whole_groups(small, keys, flags, distinct).unionByName(
         _segmented_groups(large, keys, flags, distinct, segment_size)
     )
 
 
+def _few_items(rows: DataFrame, keys: list[str], flags: list[str], most: int) -> DataFrame:
+    """The distinct items, each once, of keys that have at most ``most`` of them."""
+    folded = rows.groupBy(*keys, ITEM).agg(
+        F.count(F.lit(1)).alias("copies"), *[F.bool_or(f).alias(f) for f in flags]
+    )
+    folded = written(folded.drop("copies"))
+    sizes = folded.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return _join(folded, written(sizes.filter(F.col("n") <= most).select(*keys)), keys, "left_semi")
+
+
 def _whole_groups(
     rows: DataFrame, keys: list[str], flags: list[str], distinct: bool
 ) -> DataFrame:

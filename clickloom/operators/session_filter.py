@@ -105,22 +105,40 @@ def filter_counters(
     )
 
 
-def city_sessions(events: DataFrame, segment_events: int = SEGMENT_EVENTS) -> DataFrame:
-    """Sessions per user and city with the flags of the SHOWER test."""
+def city_sessions(
+    events: DataFrame, segment_events: int = SEGMENT_EVENTS, keep: Column | None = None
+) -> DataFrame:
+    """Sessions per user and city with the flags of the SHOWER test.
+
+    ``keep``, a condition on user, city and flags, chooses sessions before
+    their events are gathered.
+    """
     return sessionize(
         events,
         ["user_id", "city"],
         CITY_EVENT_FIELDS,
         segment_events=segment_events,
         any_of=shower_flags(),
+        keep=keep,
     )
 
 
+def _kept(rate: float, seed: int) -> Column:
+    return ~is_shower() | keep_fraction(rate, "user_id", "city", seed=seed)
+
+
 def sample_showers(
     sessions: DataFrame, rate: float = SHOWER_RATE, seed: int = 0
 ) -> DataFrame:
-    """Keep a share of the SHOWER city sessions and every other one."""
-    return sessions.filter(~is_shower() | keep_fraction(rate, "user_id", "city", seed=seed))
+    """Of stored city sessions, keep a share of the SHOWER ones and every other one."""
+    return sessions.filter(_kept(rate, seed))
+
+
+def sampled_city_sessions(
+    events: DataFrame, rate: float = SHOWER_RATE, seed: int = 0, segment_events: int = SEGMENT_EVENTS
+) -> DataFrame:
+    """The same sample from event rows; sessions left out are never gathered."""
+    return city_sessions(events, segment_events, keep=_kept(rate, seed))
 
 
 def city_session_metrics(

@@ -25,11 +25,14 @@ def sessionize(
     distinct: bool = True,
     segment_events: int = SEGMENT_EVENTS,
     any_of: Mapping[str, Column] | None = None,
+    keep: Column | None = None,
+    max_events: int | None = None,
 ) -> DataFrame:
     """Sorted sessions: ``keys, segment, session_events, flags, events``.
 
     Events sort by time, then type, then the remaining fields. ``distinct``
-    drops events equal in every field.
+    drops events equal in every field. Sessions that fail ``keep``, a condition
+    on keys and flags, or have more than ``max_events`` events are never gathered.
     """
     groups = ordered_groups(
         events,
@@ -38,6 +41,8 @@ def sessionize(
         distinct=distinct,
         segment_size=segment_events,
         any_of=any_of,
+        keep=keep,
+        max_items=max_events,
     )
     return groups.withColumnsRenamed({"group_size": "session_events", "items": "events"})
 

@@ -136,8 +136,7 @@ def _city_events(spark: SparkSession, inputs: Inputs) -> DataFrame:
 
 def build_city_sessions(spark: SparkSession, inputs: Inputs, output: str) -> None:
     """Sampled user and city sessions, one folder per city bucket."""
-    sessions = session_filter.city_sessions(_city_events(spark, inputs))
-    rows = session_filter.sample_showers(sessions).select(
+    rows = session_filter.sampled_city_sessions(_city_events(spark, inputs)).select(
         "user_id",
         "city",
         "segment",

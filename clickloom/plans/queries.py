@@ -148,8 +148,8 @@ def user_session_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def large_session_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = sessionize(parse_events(bindings.click_log(spark, sf_dir)), ["user_id"])
-    return _session_rows(session_filter.drop_large_sessions(sessions, SMALL_SESSION_EVENTS))
+    events = parse_events(bindings.click_log(spark, sf_dir))
+    return _session_rows(sessionize(events, ["user_id"], max_events=SMALL_SESSION_EVENTS))
 
 
 # --- city (user and day) sessions ------------------------------------------
@@ -167,12 +167,12 @@ def _city_rows(sessions: DataFrame) -> DataFrame:
 
 def user_day_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     sessions = session_filter.city_sessions(_city_events(spark, sf_dir))
-    return layout.by_user_and_city(_city_rows(sessions))
+    # Rendered after the sort: range boundaries are sampled from rows without it.
+    return _city_rows(layout.by_user_and_city(sessions))
 
 
 def shower_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = session_filter.city_sessions(_city_events(spark, sf_dir))
-    return _city_rows(session_filter.sample_showers(sessions))
+    return _city_rows(session_filter.sampled_city_sessions(_city_events(spark, sf_dir)))
 
 
 def session_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,8 +180,8 @@ def session_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def city_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = session_filter.city_sessions(_city_events(spark, sf_dir))
-    return layout.city_partitions(_city_rows(session_filter.sample_showers(sessions)))
+    sessions = session_filter.sampled_city_sessions(_city_events(spark, sf_dir))
+    return _city_rows(layout.city_partitions(sessions))
 
 
 # --- session types and statistics ------------------------------------------

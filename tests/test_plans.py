@@ -87,3 +87,15 @@ def test_mileage_report_reads_its_own_columns(spark):
     (schema,) = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert {c.split(":")[0] for c in schema.split(",")} == {"l_partkey", "l_quantity", "l_shipdate"}
     assert re.search(r"PushedFilters: \[[^\]]*l_quantity[^\]]*0", text)
+
+
+@pytest.mark.parametrize("name", ["large_session_filter", "shower_sample", "city_partitions"])
+def test_sessions_are_chosen_before_they_are_gathered(spark, name):
+    text = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    gather = re.search(r"collect_(set|list)", text).start()
+    assert "Filter" not in text[:gather].replace("Filter isnotnull", "")
+
+
+def test_sessions_are_rendered_after_the_sort(spark):
+    text = QUERIES["user_day_sessions"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("array_join") < text.index("Sort [")

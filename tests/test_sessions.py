@@ -215,3 +215,29 @@ def test_a_split_session_is_not_typed_by_row(spark):
     )
     with pytest.raises(Exception, match="no type by row"):
         classify_sessions(split).collect()
+
+
+@pytest.mark.parametrize("rate", [0.0, 0.5, 1.0])
+@pytest.mark.parametrize("segment_events", [1, 10_000])
+def test_sampling_before_gathering_keeps_the_same_sessions(city_events, rate, segment_events):
+    after = sample_showers(city_sessions(city_events, segment_events), rate=rate)
+    before = session_filter.sampled_city_sessions(city_events, rate, segment_events=segment_events)
+    assert before.columns == after.columns
+    assert sorted(map(str, before.collect())) == sorted(map(str, after.collect()))
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+def test_sessions_over_a_size_are_left_out_whole(spark, distinct):
+    rows = [(user, f"t{i % n}", "SHOW") for user, n, rows in
+            [("few", 2, 2), ("copies", 2, 9), ("edge", 3, 3), ("many", 9, 9), (None, 2, 2), (None, 2, 5)]
+            for i in range(rows)]
+    events = spark.createDataFrame(rows, "user_id string, event_time string, event_type string")
+    fields = ("event_time", "event_type")
+    every = sessionize(events, ["user_id"], fields, distinct=distinct)
+    few = sessionize(events, ["user_id"], fields, distinct=distinct, max_events=3)
+    expected = every.filter(F.col("session_events") <= 3)
+    assert few.columns == every.columns
+    assert sorted(map(str, few.collect())) == sorted(map(str, expected.collect()))
+    assert few.count() == (4 if distinct else 2)
+    with pytest.raises(ValueError):
+        sessionize(events, ["user_id"], fields, segment_events=2, max_events=3)
