@@ -36,6 +36,8 @@ HELD_GRAMS = 1_000_000
 SCORED_SYMBOLS = 1 << 18
 # Rows taken out of a batch at a time.
 TAKEN_ROWS = 500
+# Symbols of the runs that a text's key is chosen from: two to this power.
+RUN_DOUBLINGS = 5
 
 
 def letters_only() -> np.ndarray:
@@ -94,6 +96,31 @@ def grams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return packed[keep], lengths
 
 
+def text_key(text: np.ndarray) -> int:
+    """The smallest hash of the runs of 32 symbols of a text.
+
+    Copies have one key, near copies most often too (as often as they share
+    runs), other texts only if they share a passage.
+    """
+    odd = np.uint64(0x9E3779B97F4A7C15)
+    found, factor = text.astype(np.uint64) + np.uint64(1), int(odd)
+    for step in (1 << n for n in range(RUN_DOUBLINGS)):
+        rest = np.zeros_like(found)
+        rest[:-step] = found[step:]
+        found = found + rest * np.uint64(factor)
+        factor = factor * factor % (1 << 64)
+    # Runs that would reach over the end count only where there is no other.
+    found = found[: max(1, len(found) - (1 << RUN_DOUBLINGS) + 1)]
+    found = (found ^ (found >> np.uint64(32))) * odd
+    found = (found ^ (found >> np.uint64(29))) * odd
+    return int((found ^ (found >> np.uint64(32))).min()) if len(found) else 0
+
+
+def fold_of(key: int, folds: int) -> int:
+    """The fold of a text with this key; a key is a minimum, so it is mixed first."""
+    return ((key * 0xBF58476D1CE4E5B9) % (1 << 64) >> 40) % folds
+
+
 def in_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same rows in small batches, so that few texts are unpacked at once."""
     for batch in batches:
@@ -101,8 +128,11 @@ def in_pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, TAKEN_ROWS)
 
 
-def count_grams(rows: DataFrame, table: Callable[[], np.ndarray]) -> DataFrame:
-    """``cls, gram, n`` over rows ``cls, text``; NULL classes and texts count nothing."""
+def count_grams(rows: DataFrame, table: Callable[[], np.ndarray], folds: int = 1) -> DataFrame:
+    """``cls, fold, gram, n`` over rows ``cls, text``; NULL classes and texts count nothing.
+
+    Copies are in the same of the ``folds``.
+    """
 
     def merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         keys = np.concatenate([k for k, _ in parts])
@@ -113,18 +143,25 @@ def count_grams(rows: DataFrame, table: Callable[[], np.ndarray]) -> DataFrame:
         codes, held = table(), {}
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for cls, parts in held.items():
+            for (cls, fold), parts in held.items():
                 keys, n = merge(parts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([cls] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n)],
-                    names=["cls", "gram", "n"],
+                    [
+                        pa.array([cls] * len(keys)),
+                        pa.array([fold] * len(keys), pa.int32()),
+                        pa.array(keys.view(np.int64)),
+                        pa.array(n),
+                    ],
+                    names=["cls", "fold", "gram", "n"],
                 )
             held.clear()
 
         for batch in in_pieces(batches):
-            texts: dict[str, list[np.ndarray]] = {}
+            texts: dict[tuple[str, int], list[np.ndarray]] = {}
             for cls, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                texts.setdefault(cls, []).append(symbols(text, codes))
+                taken = symbols(text, codes)
+                fold = fold_of(text_key(taken), folds) if folds > 1 else 0
+                texts.setdefault((cls, fold), []).append(taken)
             for cls, found in texts.items():
                 packed = grams(found)[0]
                 for at in range(0, len(packed), SCORED_SYMBOLS):
@@ -137,8 +174,8 @@ def count_grams(rows: DataFrame, table: Callable[[], np.ndarray]) -> DataFrame:
         yield from flush()
 
     rows = rows.filter(F.col("cls").isNotNull() & F.col("text").isNotNull()).select("cls", "text")
-    found = rows.mapInArrow(count, "cls string, gram bigint, n bigint")
-    return found.groupBy("cls", "gram").agg(F.sum("n").alias("n"))
+    found = rows.mapInArrow(count, "cls string, fold int, gram bigint, n bigint")
+    return found.groupBy("cls", "fold", "gram").agg(F.sum("n").alias("n"))
 
 
 def _suffix(gram: Column, order: int) -> Column:
@@ -176,9 +213,20 @@ class Model:
     context_slots: dict[int, np.ndarray] = field(default_factory=dict)
     backoff: dict[int, np.ndarray] = field(default_factory=dict)
     floor: np.ndarray | None = None  # log-probability of an unseen symbol
-    mean: np.ndarray | None = None  # cross-entropy of the training texts
+    mean: np.ndarray | None = None  # cross-entropy of left-out texts, NaN without any
     spread: np.ndarray | None = None  # its deviation per symbol
 
+    def columns(self, names: dict[str, str]) -> Model:
+        """The classes that are keys of ``names``, called by its values."""
+        at = [self.classes.index(k) for k in names]
+
+        def taken(tables: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+            return {order: np.ascontiguousarray(values[:, at]) for order, values in tables.items()}
+
+        return Model(
+            list(names.values()), self.slots, taken(self.logp), self.context_slots, taken(self.backoff), self.floor[at]
+        )
+
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.searchsorted(keys, wanted)
@@ -230,7 +278,31 @@ def train(rows: DataFrame, table: Callable[[], np.ndarray], modified: bool = Fal
     ``modified`` takes three discounts per order, else one. Without any text
     the model has no classes.
     """
-    counts = written(count_grams(rows, table))
+    counts = count_grams(rows, table).drop("fold")
+    return _train(written(counts), modified)
+
+
+def train_folds(rows: DataFrame, table: Callable[[], np.ndarray], folds: int) -> tuple[Model, Model]:
+    """Model of all rows, and models that leave out one fold of the texts each.
+
+    Class ``f:cls`` of the second has the texts of ``cls`` outside fold ``f``;
+    it is missing where there are none.
+    """
+    counts = written(count_grams(rows, table, folds))
+    # The folds add up, so every count is shuffled and joined beside the others.
+    others = [F.when(F.col("fold") != f, F.lit(f"{f}:")) for f in range(folds)]
+    part = F.explode(F.array_compact(F.array(F.lit("all:"), *others)))
+    named = counts.select(part.alias("part"), "cls", "gram", "n").select(
+        F.concat("part", "cls").alias("cls"), "gram", "n"
+    )
+    found = _train(written(named.groupBy("cls", "gram").agg(F.sum("n").alias("n"))), False)
+    if not found.classes:
+        return found, found
+    whole = {k: k[len("all:") :] for k in found.classes if k.startswith("all:")}
+    return found.columns(whole), found.columns({k: k for k in found.classes if k not in whole})
+
+
+def _train(counts: DataFrame, modified: bool) -> Model:
     totals = counts.groupBy("cls").agg(F.sum("n").alias("total")).collect()  # a row per class
     classes = sorted(r.cls for r in totals)
     model = Model(classes)
@@ -274,14 +346,6 @@ def train(rows: DataFrame, table: Callable[[], np.ndarray], modified: bool = Fal
             joined.select("cls", "gram", "c", (F.col("alpha") + F.col("gamma") * F.col("below")).alias("p"))
         )
         _export(model, order, lower, contexts)
-    n, cost = F.col("c"), -F.log("p")
-    stats = lower.groupBy("cls").agg(
-        (F.sum(n * cost) / F.sum(n)).alias("mean"),
-        (F.sum(n * cost * cost) / F.sum(n)).alias("square"),
-    )
-    found = {r.cls: (r["mean"], r["square"]) for r in stats.collect()}  # a row per class
-    model.mean = np.array([found[k][0] for k in classes])
-    model.spread = np.sqrt(np.array([max(found[k][1] - found[k][0] ** 2, 0.0) for k in classes]))
     return model
 
 
@@ -321,8 +385,8 @@ def _class_numbers(model: Model, arrow: pa.Table) -> np.ndarray:
     return names[encoded.indices.to_numpy()]
 
 
-def text_costs(model: Model, texts: list[np.ndarray]) -> np.ndarray:
-    """Sum of -ln p over the symbols of each text, a column per class."""
+def text_costs(model: Model, texts: list[np.ndarray], power: int = 1) -> np.ndarray:
+    """Sum of -ln p, to a power, over the symbols of each text, a column per class."""
     out = np.zeros((len(texts), len(model.classes)))
     if not model.classes:
         return out
@@ -337,9 +401,9 @@ def text_costs(model: Model, texts: list[np.ndarray]) -> np.ndarray:
         for piece in range(0, len(packed), SCORED_SYMBOLS):
             found = log_probabilities(model, packed[piece : piece + SCORED_SYMBOLS])
             sums = np.zeros((len(found) + 1, len(model.classes)))
-            np.cumsum(found, axis=0, dtype=np.float64, out=sums[1:])
+            np.cumsum((-found) ** power, axis=0, dtype=np.float64, out=sums[1:])
             first = np.clip(ends - lengths - piece, 0, len(found))
             last = np.clip(ends - piece, 0, len(found))
-            out[at:stop] += sums[first] - sums[last]
+            out[at:stop] += sums[last] - sums[first]
         at = stop
     return out

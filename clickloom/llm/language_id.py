@@ -2,10 +2,12 @@
 
 One interpolated Kneser-Ney four-gram model per language over the letters of a
 text; everything else counts as a blank. The language with the lowest
-cross-entropy per letter wins. The cross-entropy that a model has on its own
-training text, and its spread per letter, calibrate the rejection: a text whose
-best cross-entropy lies far above, more than chance explains for its length, is
-in none of the languages.
+cross-entropy per letter wins. The cross-entropy that a model has on text left
+out of its counts, and its spread per letter, calibrate the rejection: a text
+whose best cross-entropy lies far above, more than chance explains for its
+length, is in none of the languages. The left-out text is a fold of the training
+texts, scored with the counts of the others; copies are in one fold and have one
+vote together.
 """
 
 from __future__ import annotations
@@ -21,15 +23,68 @@ from clickloom.llm import char_models
 from clickloom.llm.char_models import BLANK, Model, letters_only, symbols, text_costs
 
 UNKNOWN = "und"
-# Rejection: share above the training cross-entropy, and deviations of chance.
+# Rejection: share above the left-out cross-entropy, and deviations of chance.
 SLACK, DEVIATIONS = 0.6, 6.0
+# Folds of the training texts for the calibration.
+FOLDS = 2
 # Letters that a text counts for at most when its confidence is computed.
 CONFIDENT_LETTERS = 50
 
 
 def train_languages(rows: DataFrame, lang: Column, text: Column) -> Model:
-    """Models from the rows whose language and text are not NULL."""
-    return char_models.train(rows.select(lang.cast("string").alias("cls"), text.alias("text")), letters_only)
+    """Models from the rows whose language and text are not NULL, with their calibration."""
+    seen = rows.select(lang.cast("string").alias("cls"), text.alias("text")).dropna()
+    model, others = char_models.train_folds(seen, letters_only, FOLDS)
+    if not model.classes:
+        return model
+    votes = left_out_entropies(seen, others).groupBy("cls", "fold", "key").agg(
+        F.avg("entropy").alias("entropy"), F.avg("square").alias("square")
+    )
+    found = votes.groupBy("cls", "fold").agg(F.avg("entropy").alias("mean"), F.avg("square").alias("square"))
+    model.mean = np.full(len(model.classes), np.nan)
+    model.spread = np.zeros(len(model.classes))
+    # Copies that weigh on the whole model are in the counts of all folds but
+    # their own, so the fold with the highest cross-entropy tells what they do.
+    for r in found.orderBy("mean").collect():  # a row per class and fold
+        at = model.classes.index(r.cls)
+        model.mean[at], model.spread[at] = r["mean"], np.sqrt(max(r["square"] - r["mean"] ** 2, 0.0))
+    return model
+
+
+def left_out_entropies(rows: DataFrame, others: Model) -> DataFrame:
+    """``cls, fold, key, entropy, square`` of each text with letters under the other folds' counts.
+
+    ``others`` is the second of :func:`char_models.train_folds`. Texts without
+    another fold are left out.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(others)
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, models = letters_only(), {k: shared.value.columns({k: k}) for k in shared.value.classes}
+        for batch in char_models.in_pieces(batches):
+            texts: dict[tuple[str, int], list[tuple[int, np.ndarray]]] = {}
+            for cls, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                taken = symbols(text, table)
+                key = char_models.text_key(taken)
+                fold = char_models.fold_of(key, FOLDS)
+                if len(taken) and f"{fold}:{cls}" in models:
+                    texts.setdefault((cls, fold), []).append((key, taken))
+            for (cls, fold), found in texts.items():
+                keys, taken = zip(*found)
+                lengths = np.array([len(t) for t in taken])
+                cost, square = (text_costs(models[f"{fold}:{cls}"], list(taken), k)[:, 0] for k in (1, 2))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([cls] * len(keys), pa.string()),
+                        pa.array([fold] * len(keys), pa.int32()),
+                        pa.array(np.array(keys, np.uint64).view(np.int64)),
+                        pa.array(cost / lengths),
+                        pa.array(square / lengths),
+                    ],
+                    names=["cls", "fold", "key", "entropy", "square"],
+                )
+
+    return rows.mapInArrow(score, "cls string, fold int, key bigint, entropy double, square double")
 
 
 def judge(model: Model, found: list[np.ndarray]) -> list[tuple[str, float, float | None, bool]]:
@@ -46,6 +101,8 @@ def judge(model: Model, found: list[np.ndarray]) -> list[tuple[str, float, float
         weights = np.exp((entropy[best] - entropy) * min(len(text), CONFIDENT_LETTERS))
         chance = DEVIATIONS * model.spread[best] / np.sqrt(len(text))
         limit = model.mean[best] * (1 + SLACK) + chance
+        if np.isnan(limit):  # nothing could be left out: worse than guessing any symbol alike
+            limit = -float(model.floor[best])
         excess = max(1.0, entropy[best] / limit)
         out.append(
             (

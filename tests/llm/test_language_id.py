@@ -1,6 +1,7 @@
 """Character models against a plain computation, and language identification of odd rows."""
 
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -141,3 +142,44 @@ def test_nothing_to_learn_or_to_judge(spark):
     assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
     assert language_id.keep_identified(docs).collect() == []
     assert language_id.identify(docs.limit(0), empty).collect() == []
+
+
+WORDS = {
+    "fr": "le la maison rivière coule sous vieux pont petits oiseaux chantent dans les collines vertes matin soleil "
+    "enfants jouent près du jardin chaque jour avec leurs amis pendant que nous mangeons du pain".split(),
+    "en": "the house river runs slow under old bridge small birds sing over green hills morning sun children "
+    "play near garden every day with their friends while we eat bread and talk about work".split(),
+}
+
+
+def prose(lang, seed, n=120):
+    draw = random.Random(f"{lang}{seed}")
+    return " ".join(draw.choice(WORDS[lang]) for _ in range(n))
+
+
+@pytest.mark.parametrize("near", [False, True])
+def test_copies_do_not_drop_clean_documents(spark, near):
+    """Nearly all French text is one short text over and over, or near copies of it."""
+    same = " ".join(WORDS["fr"][:6] * 20)
+    copies = [same + (f" {prose('fr', i, 3)}" if near else "") for i in range(1500)]
+    rows = [(i, prose(k, i), k) for i in range(40) for k in ("fr", "en")]
+    rows += [(1000 + i, text, "fr") for i, text in enumerate(copies)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train_languages(train, F.col("lang"), F.col("text"))
+    clean = [(i, prose(k, i)) for i in range(5000, 5040) for k in ("fr", "en")]
+    junk = [(9000 + i, "zqxjk vvwq xkcd qqzz jjxx wvkq " * 20) for i in range(3)]
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string")
+    found = language_id.identify(docs, model).collect()
+    assert {r.doc_id for r in found if r.rejected} == {9000, 9001, 9002}
+
+
+def test_repeated_sentence_does_not_reject_new_words(spark):
+    """One sentence is all there is to learn from: nothing can be left out of the counts."""
+    text = "the river runs slow under the old bridge and small birds sing over green hills "
+    train = spark.createDataFrame([(text * 2, "en")] * 30, "text string, lang string")
+    model = language_id.train_languages(train, F.col("lang"), F.col("text"))
+    docs = spark.createDataFrame(
+        [(1, "the children sing under the green bridge and birds rest"), (2, "zqxjk vvwq xkcd qqzz jjxx " * 20)],
+        "doc_id long, text string",
+    )
+    assert {r.doc_id: r.rejected for r in language_id.identify(docs, model).collect()} == {1: False, 2: True}
