@@ -6,10 +6,10 @@ masks of it. Counting runs in the tasks that read the texts and is merged by a
 shuffle on the n-gram; every probability then comes from joins of count tables
 that are spread by n-gram and by context. Nothing is sampled or cut off.
 
-For scoring, n-grams are hashed into ``SLOTS`` slots: per order a sorted array
-of the slots in use and, beside it, one log-probability per class. Its size is
-bounded by the slots and the classes however large the corpus is, so it can be
-sent to all tasks. Two n-grams of one slot share the more frequent one's entry.
+For scoring, every n-gram keeps its whole key: per order a sorted array of the
+n-grams seen and, beside it, one log-probability per class. The arrays are sent
+to all tasks and grow with the distinct n-grams of the corpus, which the memory
+of the driver and of a task must hold; nothing shares an entry or is left out.
 """
 
 from __future__ import annotations
@@ -29,7 +29,6 @@ SYMBOL_BITS = 16
 START = 1  # stands three times before every text
 BLANK = 32
 ASTRAL = 0xFFFF
-SLOTS = 4_194_301  # the largest prime below 2**22
 # Merged n-grams that a counting task holds before it passes them on.
 HELD_GRAMS = 1_000_000
 # Symbols scored at a time.
@@ -205,12 +204,12 @@ def _choice(values: dict[str, float]) -> Column:
 
 @dataclass
 class Model:
-    """Sorted slots per order with log-probabilities, and back-off per context."""
+    """Sorted n-grams per order with log-probabilities, and back-off per context."""
 
     classes: list[str]
-    slots: dict[int, np.ndarray] = field(default_factory=dict)
+    grams: dict[int, np.ndarray] = field(default_factory=dict)
     logp: dict[int, np.ndarray] = field(default_factory=dict)
-    context_slots: dict[int, np.ndarray] = field(default_factory=dict)
+    contexts: dict[int, np.ndarray] = field(default_factory=dict)
     backoff: dict[int, np.ndarray] = field(default_factory=dict)
     floor: np.ndarray | None = None  # log-probability of an unseen symbol
     mean: np.ndarray | None = None  # cross-entropy of left-out texts, NaN without any
@@ -224,7 +223,7 @@ class Model:
             return {order: np.ascontiguousarray(values[:, at]) for order, values in tables.items()}
 
         return Model(
-            list(names.values()), self.slots, taken(self.logp), self.context_slots, taken(self.backoff), self.floor[at]
+            list(names.values()), self.grams, taken(self.logp), self.contexts, taken(self.backoff), self.floor[at]
         )
 
 
@@ -234,16 +233,12 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
 
 
-def _slot(gram: np.ndarray) -> np.ndarray:
-    return (gram % np.uint64(SLOTS)).astype(np.uint32)
-
-
 def log_probabilities(model: Model, packed: np.ndarray, order: int = ORDER) -> np.ndarray:
     """Rows of ln p(symbol | context), a column per class, backing off where unseen."""
     if order == 0:
         return np.broadcast_to(model.floor, (len(packed), len(model.classes)))
-    at, found = _find(model.slots[order], _slot(packed))
-    out = model.logp[order][at] if len(model.slots[order]) else np.zeros(
+    at, found = _find(model.grams[order], packed)
+    out = model.logp[order][at] if len(model.grams[order]) else np.zeros(
         (len(packed), len(model.classes)), np.float32
     )
     unseen = np.flatnonzero(~found)
@@ -257,21 +252,14 @@ def log_probabilities(model: Model, packed: np.ndarray, order: int = ORDER) -> n
 
 
 def _backoff(model: Model, contexts: np.ndarray, order: int) -> np.ndarray:
-    keys = model.context_slots[order]
+    keys = model.contexts[order]
     out = np.zeros((len(contexts), len(model.classes)), np.float32)
     if len(keys):
-        at, found = _find(keys, _slot(contexts))
+        at, found = _find(keys, contexts)
         out[found] = model.backoff[order][at[found]]
     return out
 
 
-def _unsigned_slot(gram: Column) -> Column:
-    """The slot of a packed n-gram read as an unsigned number."""
-    high = F.shiftrightunsigned(gram, 32)
-    low = gram.bitwiseAND(F.lit((1 << 32) - 1))
-    return F.pmod(high * F.lit((1 << 32) % SLOTS) + low, F.lit(SLOTS))
-
-
 def train(rows: DataFrame, table: Callable[[], np.ndarray], modified: bool = False) -> Model:
     """Model of rows ``cls, text``: all of them count.
 
@@ -349,33 +337,27 @@ def _train(counts: DataFrame, modified: bool) -> Model:
     return model
 
 
+def _gathered(model: Model, table: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, class numbers and values of all rows of a table."""
+    arrow = table.select("cls", key, F.col(value).cast("double").alias("value")).toArrow()
+    keys = arrow.column(key).to_numpy().astype(np.int64).view(np.uint64)
+    return keys, _class_numbers(model, arrow), arrow.column("value").to_numpy()
+
+
 def _export(model: Model, order: int, probabilities: DataFrame, contexts: DataFrame) -> None:
-    """Take the slots of one order; at most ``SLOTS`` per class are gathered."""
-    best = probabilities.groupBy("cls", _unsigned_slot(F.col("gram")).cast("int").alias("slot")).agg(
-        F.max_by(F.struct("p", "gram"), F.struct("c", "gram")).alias("top")
-    )
-    arrow = best.select("cls", "slot", "top.p", "top.gram").toArrow()
-    slot = arrow.column("slot").to_numpy().astype(np.uint32)
-    gram = arrow.column("gram").to_numpy().astype(np.int64).view(np.uint64)
-    column = _class_numbers(model, arrow)
-    keys, first, place = np.unique(slot, return_index=True, return_inverse=True)
-    back = contexts.groupBy("cls", _unsigned_slot(F.col("ctx")).cast("int").alias("slot")).agg(
-        F.max_by("gamma", F.struct("total", "ctx")).alias("gamma")
-    )
-    arrow_back = back.toArrow()
-    back_slot = arrow_back.column("slot").to_numpy().astype(np.uint32)
-    back_keys, back_place = np.unique(back_slot, return_inverse=True)
-    backoff = np.zeros((len(back_keys), len(model.classes)), np.float32)
-    backoff[back_place, _class_numbers(model, arrow_back)] = np.log(
-        np.maximum(arrow_back.column("gamma").to_numpy(), 1e-12)
-    )
-    model.context_slots[order], model.backoff[order] = back_keys, backoff
+    """Take all n-grams and contexts of one order."""
+    ctx, column, gamma = _gathered(model, contexts, "ctx", "gamma")
+    model.contexts[order], place = np.unique(ctx, return_inverse=True)
+    backoff = np.zeros((len(model.contexts[order]), len(model.classes)), np.float32)
+    backoff[place, column] = np.log(np.maximum(gamma, 1e-12))
+    model.backoff[order] = backoff
+    gram, column, p = _gathered(model, probabilities, "gram", "p")
+    keys, place = np.unique(gram, return_inverse=True)
     # A class that has not seen the n-gram backs off to its shorter ones.
-    of_key = gram[first]
-    suffix = of_key & np.uint64((1 << SYMBOL_BITS * (order - 1)) - 1)
-    values = log_probabilities(model, suffix, order - 1) + _backoff(model, of_key >> np.uint64(SYMBOL_BITS), order)
-    values[place, column] = np.log(arrow.column("p").to_numpy())
-    model.slots[order], model.logp[order] = keys, values.astype(np.float32)
+    suffix = keys & np.uint64((1 << SYMBOL_BITS * (order - 1)) - 1)
+    values = log_probabilities(model, suffix, order - 1) + _backoff(model, keys >> np.uint64(SYMBOL_BITS), order)
+    values[place, column] = np.log(p)
+    model.grams[order], model.logp[order] = keys, values.astype(np.float32)
 
 
 def _class_numbers(model: Model, arrow: pa.Table) -> np.ndarray:

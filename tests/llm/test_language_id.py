@@ -75,6 +75,19 @@ def test_probabilities_by_definition(model, text):
             assert found[i, column] == pytest.approx(expected, abs=1e-4)
 
 
+def test_unseen_grams_do_not_take_the_place_of_others(spark):
+    """The second text's letter pairs lie 4,194,301 above those of the first."""
+    text, other = "бгд бгб вбг", "ѱа ѱа"
+    model = cm.train(spark.createDataFrame([("aa", text)], "cls string, text string"), cm.letters_only)
+    probability = brute_force([text])
+    for wanted in (text, other):
+        symbols = cm.symbols(wanted, cm.letters_only())
+        found = cm.log_probabilities(model, cm.grams([symbols])[0])[:, 0]
+        whole = [cm.START] * 3 + symbols.tolist()
+        expected = [math.log(probability(tuple(whole[i : i + 4]))) for i in range(len(symbols))]
+        assert found == pytest.approx(expected, abs=1e-4)
+
+
 def test_probabilities_add_up_to_less_than_one(model):
     """Over all known symbols; the rest is for unknown ones."""
     known = sorted({s for c, t in ROWS if c == "aa" for s in cm.symbols(t, cm.letters_only()).tolist()})
