@@ -7,7 +7,8 @@ not seen its row, so the later model learns how far an earlier one can be
 trusted. Words and models are Spark MLlib's and run on the JVM.
 
 The chain is fitted on a bounded sample of the labelled rows (``MAX_LABELLED``,
-chosen by a hash of the id); every document is scored.
+chosen by a hash of the id), of which rare labels get as many rows as frequent
+ones; rows weigh what they stand for. Every document is scored.
 """
 
 from __future__ import annotations
@@ -25,9 +26,10 @@ from clickloom.session import written
 # The expected size of the sample of labelled rows.
 MAX_LABELLED = 20_000
 FOLDS = 3
-# Words that at least this share of the sampled documents hold, and how many.
-MIN_SHARE, MAX_WORDS = 0.005, 1 << 15
-ITERATIONS, PENALTY, SPARSE = 25, 0.002, 1.0
+# Sampled documents that hold a word at least, and how many words.
+MIN_DOCS, MAX_WORDS = 3.0, 1 << 18
+# The L1 penalty takes this many documents' evidence off every word.
+ITERATIONS, EVIDENCE, SPARSE = 25, 1.5, 1.0
 HASH_RANGE = 1_000_000
 # Categories in chain order, made of the columns of the labels table.
 CATEGORIES = ("toxic", "low_quality", "toxic_low_quality")
@@ -62,25 +64,31 @@ def _chained(rows: DataFrame, earlier: list[str]) -> DataFrame:
 
 
 def fit(rows: DataFrame, categories: tuple[str, ...], folds: int = FOLDS) -> Chain | None:
-    """Chain over rows ``id, text, <categories>`` (0 or 1); None if there are no words."""
+    """Chain over rows ``id, text, <categories>`` (0 or 1); None if there are no words.
+
+    A column ``weight`` says how many rows a row stands for, else it is one.
+    """
+    weight = F.col("weight") if "weight" in rows.columns else F.lit(1.0)
     tokens = written(
         rows.select(
             F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(folds)).alias("fold"),
             words_of(F.col("text")).alias("words"),
+            weight.cast("double").alias("weight"),
             *[F.col(c).cast("double").alias(c) for c in categories],
         )
     )
     if tokens.filter(F.size("words") > 0).isEmpty():
         return None
     counter = CountVectorizer(
-        inputCol="words", outputCol="features", vocabSize=MAX_WORDS, minDF=MIN_SHARE, binary=True
+        inputCol="words", outputCol="features", vocabSize=MAX_WORDS, minDF=MIN_DOCS, binary=True
     )
     words = counter.fit(tokens)
-    data = written(words.transform(tokens).select("fold", "features", *categories))
+    data = written(words.transform(tokens).select("fold", "weight", "features", *categories))
+    seen = data.agg(F.sum("weight")).first()[0]
     models, earlier = [], []
     for category in categories:
         learner = LogisticRegression(
-            featuresCol="chained", labelCol=category, maxIter=ITERATIONS, regParam=PENALTY,
+            featuresCol="chained", labelCol=category, weightCol="weight", maxIter=ITERATIONS, regParam=EVIDENCE / seen,
             elasticNetParam=SPARSE, standardization=False,
             threshold=0.5,
         )
@@ -126,13 +134,20 @@ def predict(docs: DataFrame, chain: Chain | None, id_col: str = "doc_id", text_c
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
     """``id, text`` and the categories of about ``most`` labelled documents, or all."""
     known = labels.select("doc_id", "quality", "toxic").dropna().dropDuplicates(["doc_id"])
-    share = min(1.0, most / max(1, known.count()))
-    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE)) < int(share * HASH_RANGE)
-    # The documents are thinned out alike, so that few texts are shuffled.
-    texts = docs.select("doc_id", "text").filter(chosen)
-    return texts.join(known.filter(chosen), "doc_id").select(
+    left, share = most, F.lit(1.0)
+    strata = sorted(known.groupBy("quality", "toxic").count().collect(), key=lambda r: r["count"])
+    for n, r in enumerate(strata):  # a row per pair of labels, the rarest first
+        taken = min(r["count"], left // (len(strata) - n))
+        left -= taken
+        own = (F.col("quality") == r.quality) & (F.col("toxic") == r.toxic)
+        share = F.when(own, F.lit(taken / r["count"])).otherwise(share)
+    chosen = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE)) < F.col("share") * HASH_RANGE
+    sample = known.withColumn("share", share).filter(chosen)
+    # The sample is small beside the documents: few texts are shuffled.
+    return docs.select("doc_id", "text").join(sample, "doc_id").select(
         F.col("doc_id").alias("id"),
         "text",
+        (1 / F.col("share")).alias("weight"),
         "toxic",
         (1 - F.col("quality")).alias("low_quality"),
         (F.col("toxic") * (1 - F.col("quality"))).alias("toxic_low_quality"),

@@ -21,3 +21,19 @@ def test_nothing_to_learn(spark):
     (row,) = tc.judge_documents(docs, spark.createDataFrame([], LABELS)).collect()
     assert row.p_toxic == 0 and not row.toxic
     assert tc.judge_documents(docs.limit(0), spark.createDataFrame([], LABELS)).collect() == []
+
+
+def test_rare_insults_are_found(spark):
+    """Eight insults, each in 0.4 % of the documents."""
+    rows = [(i, f"some plain words {f'vile{chr(97 + i % 8)}' if i < 48 else 'kind'}", 1) for i in range(1500)]
+    labels = spark.createDataFrame([(i, 1, int(i < 48)) for i in range(1500)], LABELS)
+    got = tc.judge_documents(spark.createDataFrame(rows, DOCS), labels).collect()
+    assert {r.doc_id for r in got if r.toxic} == set(range(48))
+
+
+def test_sample_keeps_rare_labels(spark):
+    rows = [(i, "some words", 1) for i in range(2000)]
+    labels = spark.createDataFrame([(i, 1, int(i < 20)) for i in range(2000)], LABELS)
+    got = tc.labelled_sample(spark.createDataFrame(rows, DOCS), labels, most=200).collect()
+    assert sum(r.toxic for r in got) == 20 and 120 < len(got) < 280
+    assert abs(sum(r.weight for r in got) - 2000) < 500
