@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 DEMO_KEY = "clickloom-demonstration-key"
 
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+"
+EMAIL = r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+"
 IP = r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?![\p{L}\p{N}]|\.\d)"
 DATE = r"(?<![\p{L}\p{N}./-])(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?![\p{L}\p{N}]|[./-]\d)"
 SSN = r"(?<![\p{L}\p{N}-])\d{3}-\d\d-\d{4}(?![\p{L}\p{N}]|-\d)"
-CARD = r"(?<![\p{L}\p{N}+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\p{L}\p{N}]|-\d)"
+CARD = r"(?<![\p{L}\p{N}+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}]|-\d)"
 PHONE = (
     r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?![\p{L}\p{N}]|-\d)"
     r"|(?<![\p{L}\p{N}+])\+\d{8,15}(?![\p{L}\p{N}])"

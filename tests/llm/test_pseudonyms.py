@@ -102,3 +102,13 @@ def test_no_python_in_the_plan(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = ps.pseudonymize(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_addresses_behind_signs_and_cards_in_three_groups(spark):
+    texts = ["-jane@acme.com", "see _jane@acme.com", "3782-822463-10005", "card 3782 822463 10005."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.text for r in ps.pseudonymize(docs).collect()}
+    for i, text in enumerate(texts):
+        assert found[i] != text and len(found[i]) == len(text)
+    assert found[0][0] == "-" and found[1].startswith("see _")
+    assert all("jane" not in found[i] for i in (0, 1))
