@@ -122,3 +122,9 @@ def test_components_of_a_path_and_a_star(spark):
     links = spark.createDataFrame(path + star, "a long, b long")
     roots = {r.node: r.root for r in connected_components(links, "a", "b").collect()}
     assert roots == {i: 1 for i in range(1, 41)} | {i: 1000 for i in range(1000, 1301)}
+
+
+def test_components_of_a_long_path(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(1, 300)], "a long, b long")
+    roots = {r.node: r.root for r in connected_components(links, "a", "b").collect()}
+    assert roots == {i: 1 for i in range(1, 301)}
