@@ -143,8 +143,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED
         share = F.when(own, F.lit(taken / r["count"])).otherwise(share)
     chosen = F.pmod(F.xxhash64("doc_id"), F.lit(HASH_RANGE)) < F.col("share") * HASH_RANGE
     sample = known.withColumn("share", share).filter(chosen)
-    # The sample is small beside the documents: few texts are shuffled.
-    return docs.select("doc_id", "text").join(sample, "doc_id").select(
+    # The sample's size is bounded, so it is sent to the tasks and no text is shuffled.
+    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(
         F.col("doc_id").alias("id"),
         "text",
         (1 / F.col("share")).alias("weight"),
