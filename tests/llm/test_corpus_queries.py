@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registration():
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
-    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [name.split("_")[0] for name in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert len(corpus_pipeline.STAGES) == 5
 
 

@@ -1,0 +1,74 @@
+"""Token counts against the library itself."""
+
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from clickloom.llm import token_counts as tc
+
+SF = "/root/testdata/sf0.001"
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def counter():
+    with open(PATH, encoding="utf-8") as file:
+        return tc.Counter(tc.tables(file.read()))
+
+
+def lengths(library, texts):
+    return [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_documents(spark, library):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = {r.doc_id: r for r in tc.count_tokens(docs, PATH).collect()}
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    assert rows.keys() == texts.keys()
+    for doc_id, n in zip(texts, lengths(library, list(texts.values()))):
+        assert (rows[doc_id].n_tokens, rows[doc_id].over_limit) == (n, n > 512)
+        assert rows[doc_id].n_bytes == len(texts[doc_id].encode())
+
+
+def test_odd_rows(spark, library):
+    texts = [
+        "", None, " ", "\n\n  x \t y  ", "it's we'll I'd 12 ab12 ---   é", "a" * 5000, "é" * 3000,
+        "<|endoftext|>", "x<|endoftext|><|endoftext|> y<|endo", "word " * 60_000, "\x1c\x1d a\x00b",
+        "😀 日本語 ฿ \U0001f9ff x", "x" * 512, "hello", "hello",
+    ]
+    rows = [(i, t, "a", 1) for i, t in enumerate(texts)] + [(None, "no id", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string, n_tokens int")
+    got = tc.count_tokens(docs, PATH).collect()
+    assert sorted(got[0].asDict()) == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    expected = lengths(library, [t or "" for t in texts])
+    assert {r.doc_id: r.n_tokens for r in got if r.doc_id is not None} == dict(enumerate(expected))
+    assert [r.n_tokens for r in got if r.doc_id is None] == lengths(library, ["no id"])
+    assert tc.count_tokens(docs.limit(0), PATH).collect() == []
+
+
+def test_every_character(library, counter):
+    texts = [f"a{chr(c)}1{chr(c)} {chr(c)}!" for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    assert [counter.count(t) for t in texts] == lengths(library, texts)
+
+
+def test_random_strings(library, counter):
+    draw = random.Random(1)
+    signs = "aeiou nrstl THE '.-\n\t0123éß日ж😀"
+    texts = ["".join(draw.choices(signs, k=draw.randint(1, 120))) for _ in range(3000)]
+    texts += ["".join(draw.choices("abcdefgh", k=draw.randint(41, 400))) for _ in range(500)]
+    assert [counter.count(t) for t in texts] == lengths(library, texts)
+
+
+def test_whole_tokens_are_single(library, counter):
+    whole = sorted(counter.found.whole)
+    assert len(whole) > 45_000
+    # Not every one of them is a pre-token; those that are must be one token.
+    own = [w for w in whole if tc.PRE_TOKENS.fullmatch(w) and len(list(counter.pre_tokens(w))) == 1]
+    assert len(own) > 40_000 and set(lengths(library, own)) == {1}
