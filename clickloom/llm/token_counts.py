@@ -171,10 +171,16 @@ class Counter:
             else None
         )
 
-    def pre_tokens(self, text: str) -> Iterator[str]:
-        if text.isascii() or not self.unsure.search(text):
-            return (m.group() for m in PRE_TOKENS.finditer(text))
-        return (text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text))
+    def pre_tokens(self, text: str) -> Iterator[list[str]]:
+        """The pre-tokens of a text in order, some at a time."""
+        if not text.isascii() and self.unsure.search(text):
+            words = (text[a:b] for _, (a, b) in self.library.pre_tokenize_str(text))
+        elif len(text) < LOOKED_UP:
+            yield PRE_TOKENS.findall(text)
+            return
+        else:
+            words = (m.group() for m in PRE_TOKENS.finditer(text))
+        yield from iter(lambda: list(islice(words, LOOKED_UP)), [])
 
     def count(self, text: str) -> int:
         n, parts = 0, [text]
@@ -183,12 +189,7 @@ class Counter:
             n = len(parts) - 1  # every special string is one token
         whole, rest = self.found.whole.__contains__, self.merged
         for part in parts:
-            if len(part) < LOOKED_UP and part.isascii():
-                chunks: Iterable[list[str]] = [PRE_TOKENS.findall(part)]
-            else:
-                words = self.pre_tokens(part)
-                chunks = iter(lambda: list(islice(words, LOOKED_UP)), [])
-            for chunk in chunks:
+            for chunk in self.pre_tokens(part):
                 hits = sum(map(whole, chunk))
                 n += hits
                 if hits < len(chunk):
