@@ -50,6 +50,16 @@ def session_type_over(event_type: Column) -> Column:
     )
 
 
+def type_flags() -> dict[str, Column]:
+    """Row conditions that, taken over a session, decide its type."""
+    return {f"has_{name}": F.col("event_type").isin(*types) for name, types in TYPE_RULES}
+
+
+def session_type_by_flags() -> Column:
+    """Type of a session over its ``type_flags`` columns."""
+    return _first_match({name: F.col(f"has_{name}") for name, _ in TYPE_RULES})
+
+
 def shower_flags() -> dict[str, Column]:
     """Row conditions that, taken over a city session, make it a SHOWER."""
     return {

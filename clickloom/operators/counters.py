@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import threading
+
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -27,15 +30,45 @@ def word_counters(lines: DataFrame, text: Column) -> DataFrame:
     return totals.select(F.inline(F.array(*pairs)))
 
 
-def observed(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
-    """Count rows, and rows meeting each condition, as ``df`` is written.
+class Counters:
+    """Row counters of a job, taken by the actions that do its work anyway.
 
-    The counts are readable from the observation after the first action.
+    ``rows`` marks a place in a plan; nothing is read twice for it. Mark rows
+    behind a sort, not before it: sorting first reads a sample of what it gets.
+    Like all task metrics the numbers may count rows twice after a stage was
+    computed again for a lost executor.
     """
-    observation = Observation(name)
-    measured = df.observe(
-        observation,
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(c).alias(label) for label, c in counts.items()],
-    )
-    return measured, observation
+
+    def __init__(self) -> None:
+        self._observations: list[Observation] = []
+
+    def rows(self, df: DataFrame, name: str | None, **totals: Column) -> DataFrame:
+        """``df``; its rows count as ``name``, and each aggregate under its keyword."""
+        observation = Observation()
+        self._observations.append(observation)
+        columns = [F.coalesce(c, F.lit(0)).cast("bigint").alias(label) for label, c in totals.items()]
+        if name:
+            columns.insert(0, F.count(F.lit(1)).alias(name))
+        return df.observe(observation, *columns)
+
+    def values(self, wait: float = 20.0) -> dict[str, int]:
+        """All counters, once the actions are done.
+
+        A place that no action passed, such as the rows above an empty join, has
+        no numbers and is left out.
+        """
+        found: dict[str, int] = {}
+        for observation in self._observations:
+            taken: list[dict[str, int]] = []
+            reader = threading.Thread(target=_take, args=(observation, taken), daemon=True)
+            reader.start()
+            reader.join(wait)
+            found |= taken[0] if taken else {}
+        return found
+
+
+def _take(observation: Observation, taken: list[dict[str, int]]) -> None:
+    try:
+        taken.append(observation.get)
+    except Py4JError:  # the optimizer left the marked place out of the plan
+        return

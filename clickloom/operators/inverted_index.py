@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import letter_words, section, tokens
-from clickloom.operators.groups import ordered_groups
+from clickloom.operators.groups import ordered_groups, sampled
 
 # A posting list longer than this is split into several rows.
 SEGMENT_POSTINGS = 100_000
@@ -50,11 +50,22 @@ def header_addresses(lines: DataFrame, text: Column) -> DataFrame:
 
 
 def header_index(
-    entries: DataFrame, *, distinct: bool = False, segment_size: int = SEGMENT_POSTINGS
+    lines: DataFrame,
+    text: Column,
+    *,
+    distinct: bool = False,
+    segment_size: int = SEGMENT_POSTINGS,
+    ordered: bool = False,
 ) -> DataFrame:
     """Sorted message ids per key: ``key, segment, postings, message_ids``."""
     groups = ordered_groups(
-        entries, ["key"], F.col("message_id"), distinct=distinct, segment_size=segment_size
+        header_addresses(lines, text),
+        ["key"],
+        F.col("message_id"),
+        distinct=distinct,
+        segment_size=segment_size,
+        sample=header_addresses(sampled(lines, segment_size), text),
+        ordered=ordered,
     )
     return groups.select(
         "key",
@@ -64,6 +75,17 @@ def header_index(
     )
 
 
+def message_postings(entries: DataFrame) -> DataFrame:
+    """``key, message_id, postings``: how often a message names a key, as a map.
+
+    The map numbers the occurrences from 1, each with the id of the message.
+    """
+    counted = entries.groupBy("key", "message_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    numbers = F.sequence(F.lit(1), F.col("n"))
+    ids = F.array_repeat(F.col("message_id"), F.col("n"))
+    return counted.select("key", "message_id", F.map_from_arrays(numbers, ids).alias("postings"))
+
+
 def verse_words(lines: DataFrame, text: Column) -> DataFrame:
     """``word, book, chapter, verse`` and labels for the distinct words of each verse line.
 
@@ -92,14 +114,18 @@ def verse_words(lines: DataFrame, text: Column) -> DataFrame:
     )
 
 
-def verse_index(entries: DataFrame, *, segment_size: int = SEGMENT_POSTINGS) -> DataFrame:
+def verse_index(
+    lines: DataFrame, text: Column, *, segment_size: int = SEGMENT_POSTINGS, ordered: bool = False
+) -> DataFrame:
     """Verses per word by book, chapter, verse: ``word, segment, postings, verses``."""
     groups = ordered_groups(
-        entries,
+        verse_words(lines, text),
         ["word"],
         F.struct("book", "chapter", "chapter_label", "verse", "verse_label"),
         distinct=True,
         segment_size=segment_size,
+        sample=verse_words(sampled(lines, segment_size), text),
+        ordered=ordered,
     )
     return groups.select(
         "word",

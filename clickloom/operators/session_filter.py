@@ -8,14 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.sessions import (
+    NO_RULE,
     SAMPLE_RATES,
     SHOWER_RATE,
+    TYPE_RULES,
     is_shower,
     keep_fraction,
     sample_rate,
+    session_type_by_flags,
     session_type_of,
     session_type_over,
     shower_flags,
+    type_flags,
 )
 from clickloom.operators.sessionize import CITY_EVENT_FIELDS, SEGMENT_EVENTS, sessionize
 from clickloom.schemas import EVENT_SUBTYPES
@@ -37,17 +41,37 @@ def session_profiles(events: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def classify_sessions(sessions: DataFrame) -> DataFrame:
+def typed_sessions(
+    events: DataFrame, keys: list[str], distinct: bool = True, segment_events: int = SEGMENT_EVENTS
+) -> DataFrame:
+    """Sorted sessions with ``session_type``.
+
+    The type is that of the whole session on each of its rows, however many
+    there are: its flags are gathered beside the events.
+    """
+    flags = type_flags()
+    sessions = sessionize(
+        events, keys, distinct=distinct, segment_events=segment_events, any_of=flags
+    )
+    return sessions.withColumn("session_type", session_type_by_flags()).drop(*flags)
+
+
+def classify_sessions(sessions: DataFrame, max_events: int | None = None) -> DataFrame:
     """Add ``session_type`` to nested sessions without a shuffle.
 
-    Meant for sessions that passed ``drop_large_sessions``. A session that was
-    written in several rows has one type for all of them, which a row alone
-    cannot tell: such a row raises an error instead of getting a type of its own.
+    Stored sessions that bring their type keep it. Others are typed by their
+    events; sessions of more than ``max_events`` events, if given, get none. A
+    session that was written in several rows has one type for all of them, which
+    a row alone cannot tell: such a row raises an error.
     """
+    if "session_type" in sessions.columns:
+        return sessions
     split = F.size("events") < F.col("session_events")
     message = F.lit("a session split over several rows has no type by row")
-    kind = F.when(split, F.raise_error(message).cast("string"))
-    return sessions.withColumn("session_type", kind.otherwise(session_type_of(F.col("events"))))
+    kind = F.when(split, F.raise_error(message).cast("string")).otherwise(session_type_of(F.col("events")))
+    if max_events is not None:
+        kind = F.when(F.col("session_events") <= max_events, kind)
+    return sessions.withColumn("session_type", kind)
 
 
 def nested_profiles(sessions: DataFrame, keys: list[str]) -> DataFrame:
@@ -92,26 +116,52 @@ def filter_counters(
     seed: int = 0,
 ) -> DataFrame:
     """One row: sessions seen, large ones discarded, sampled-out ones per type."""
-    kind = F.col("session_type")
-    large = F.col("session_events") > max_events
-    kept = keep_fraction(sample_rate(kind, rates), *keys, seed=seed)
     return profiles.agg(
         F.count(F.lit(1)).alias("sessions"),
-        F.count_if(large).alias("large_discards"),
-        *[
-            F.count_if(~large & (kind == name) & ~kept).alias(f"{name}_discards")
-            for name in rates
-        ],
+        *[c.alias(name) for name, c in discards(keys, max_events, rates, seed).items()],
     )
 
 
+def discards(
+    keys: list[str],
+    max_events: int = MAX_EVENTS,
+    rates: Mapping[str, float] = SAMPLE_RATES,
+    seed: int = 0,
+    once: Column | None = None,
+) -> dict[str, Column]:
+    """Aggregates over typed sessions: large ones, and those sampled out per type.
+
+    ``once`` is true for one row of each session.
+    """
+    kind = F.col("session_type")
+    large = F.col("session_events") > max_events
+    kept = keep_fraction(sample_rate(kind, rates), *keys, seed=seed)
+    once = F.lit(True) if once is None else once
+    return {
+        "large_discards": F.count_if(once & large),
+        **{f"{name}_discards": F.count_if(once & ~large & (kind == name) & ~kept) for name in rates},
+    }
+
+
+def type_tallies(prefix: str) -> dict[str, Column]:
+    """Aggregates over typed session rows: sessions of each type, a long one once."""
+    first = F.col("segment") == 0
+    return {
+        f"{prefix}_{name}": F.count_if(first & (F.col("session_type") == name))
+        for name in (*[name for name, _ in TYPE_RULES], NO_RULE)
+    }
+
+
 def city_sessions(
-    events: DataFrame, segment_events: int = SEGMENT_EVENTS, keep: Column | None = None
+    events: DataFrame,
+    segment_events: int = SEGMENT_EVENTS,
+    keep: Column | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
     """Sessions per user and city with the flags of the SHOWER test.
 
     ``keep``, a condition on user, city and flags, chooses sessions before
-    their events are gathered.
+    their events are gathered. ``ordered`` gives them by user and city.
     """
     return sessionize(
         events,
@@ -120,6 +170,7 @@ def city_sessions(
         segment_events=segment_events,
         any_of=shower_flags(),
         keep=keep,
+        ordered=ordered,
     )
 
 

@@ -13,15 +13,20 @@ def listed(rows: DataFrame, column: str) -> DataFrame:
     return rows.filter(F.col(column).try_cast("double") != 0)
 
 
-def one_per_key(rows: DataFrame, key: str) -> DataFrame:
-    """One row per key: the smallest one, comparing the other columns in order.
+def one_per_key(rows: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
+    """One row per key, chosen without regard to what is in it.
 
-    A minimum merges before the shuffle, so a frequent key stays small.
+    The choice is the row with the smallest MD5 of its key and its columns
+    ``by`` (all, if not given), so it favours neither low nor high values, any
+    run repeats it, and one candidate per key and task is all that is shuffled.
+    Rows equal in ``by`` are told apart by the other columns in order.
     """
     others = [c for c in rows.columns if c != key]
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key, *(by or others))]
+    draw = F.md5(F.concat_ws("|", *parts))
     return (
         rows.groupBy(key)
-        .agg(F.min(F.struct(*others)).alias("row"))
+        .agg(F.min(F.struct(draw.alias("draw"), *others)).alias("row"))
         .select(*[F.col(c) if c == key else F.col(f"row.{c}").alias(c) for c in rows.columns])
     )
 
@@ -59,14 +64,21 @@ def mileage_by_year(rows: DataFrame) -> DataFrame:
 
 
 def vehicle_event_counts(rows: DataFrame, view: str | None = None) -> DataFrame:
-    """Events per vehicle and first word of the event, over a temporary view of its own."""
-    view = view or f"vehicle_events_{uuid.uuid4().hex}"
-    rows.withColumn("event_type", F.substring_index("event", " ", 1)).createOrReplaceTempView(view)
-    return rows.sparkSession.sql(
-        f"""
-        SELECT vin, event_type AS event, COUNT(*) AS events
-        FROM {view}
-        GROUP BY vin, event_type
-        ORDER BY vin, event_type
-        """
-    )
+    """Events per vehicle and first word of the event, over a temporary view.
+
+    A view that is given a name stays; one without is dropped once the query is planned.
+    """
+    name = view or f"vehicle_events_{uuid.uuid4().hex}"
+    rows.withColumn("event_type", F.substring_index("event", " ", 1)).createOrReplaceTempView(name)
+    try:
+        return rows.sparkSession.sql(
+            f"""
+            SELECT vin, event_type AS event, COUNT(*) AS events
+            FROM {name}
+            GROUP BY vin, event_type
+            ORDER BY vin, event_type
+            """
+        )
+    finally:
+        if view is None:
+            rows.sparkSession.catalog.dropTempView(name)

@@ -323,12 +323,15 @@ VEHICLE_LINES = """
 """
 
 
-def _one_per_vin(
-    nonzero: str, order: str = '"userID", event, "timestamp", condition, year, price, mileage'
-) -> str:
+_VEHICLE_TEXT = '"userID", event, "timestamp", condition, year, price, mileage'
+
+
+def _one_per_vin(nonzero: str, columns: str = _VEHICLE_TEXT) -> str:
+    """The row of each vehicle whose text, vehicle and columns, has the smallest MD5."""
+    text = ", ".join(f"coalesce({c.strip()}, '')" for c in ("vin", *columns.split(",")))
     return f"""
     SELECT * FROM (
-        SELECT *, row_number() OVER (PARTITION BY vin ORDER BY {order}) AS place
+        SELECT *, row_number() OVER (PARTITION BY vin ORDER BY md5(concat_ws('|', {text})), {columns}) AS place
         FROM ({VEHICLE_LINES}) WHERE {nonzero} <> 0)
     WHERE place = 1
     """

@@ -12,10 +12,6 @@ from clickloom.functions.rendering import city_events_text, counts_text
 from clickloom.operators import counters, layout, session_filter, subtype_statistics
 from clickloom.operators import vehicle_activity, vehicle_reports, word_statistics
 from clickloom.operators.histogram import field_histogram as histogram
-from clickloom.operators.inverted_index import (
-    header_addresses,
-    verse_words,
-)
 from clickloom.operators.inverted_index import header_index as build_header_index
 from clickloom.operators.inverted_index import verse_index as build_verse_index
 from clickloom.operators.sessionize import SEGMENT_EVENTS, sessionize
@@ -69,16 +65,16 @@ def paragraph_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def verse_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_verse_index(verse_words(bindings.verses(spark, sf_dir), F.col("value")))
+    return build_verse_index(bindings.verses(spark, sf_dir), F.col("value"))
 
 
 def verse_index_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = verse_words(bindings.verses(spark, sf_dir), F.col("value"))
-    return build_verse_index(entries, segment_size=SHORT_SEGMENT_POSTINGS)
+    lines = bindings.verses(spark, sf_dir)
+    return build_verse_index(lines, F.col("value"), segment_size=SHORT_SEGMENT_POSTINGS)
 
 
 def header_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_header_index(header_addresses(bindings.emails(spark, sf_dir), F.col("value")))
+    return build_header_index(bindings.emails(spark, sf_dir), F.col("value"))
 
 
 # --- click log -------------------------------------------------------------
@@ -166,9 +162,7 @@ def _city_rows(sessions: DataFrame) -> DataFrame:
 
 
 def user_day_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = session_filter.city_sessions(_city_events(spark, sf_dir))
-    # Rendered after the sort: range boundaries are sampled from rows without it.
-    return _city_rows(layout.by_user_and_city(sessions))
+    return _city_rows(session_filter.city_sessions(_city_events(spark, sf_dir), ordered=True))
 
 
 def shower_sample(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Writers for the output formats of the jobs."""
 
 from clickloom.sinks.writers import (
+    Counted,
     write_city_buckets,
+    write_city_tuples,
     write_csv,
     write_records,
     write_routed,
@@ -10,7 +12,9 @@ from clickloom.sinks.writers import (
 )
 
 __all__ = [
+    "Counted",
     "write_city_buckets",
+    "write_city_tuples",
     "write_csv",
     "write_records",
     "write_routed",

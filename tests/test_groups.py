@@ -33,34 +33,61 @@ def brute_force(rows, distinct, size):
     return expected
 
 
-@pytest.mark.parametrize("distinct", [True, False])
-@pytest.mark.parametrize("size, broadcast", [(10_000, True), (20, True), (20, False), (1, True)])
-def test_segments_match_brute_force(spark, monkeypatch, distinct, size, broadcast):
-    monkeypatch.setattr(groups, "SEGMENT_BLOCK", 3)
-    rows = skewed_rows(size)
-    df = spark.createDataFrame(rows, "key string, n int, tag string").repartition(5)
-    got = ordered_groups(
+def found(result):
+    return {
+        (r["key"], r["segment"]): (r["group_size"], r["has_x"], [tuple(i) for i in r["items"]])
+        for r in result
+    }
+
+
+def grouped(df, distinct, size, **more):
+    return ordered_groups(
         df,
         ["key"],
         F.struct("n", "tag"),
         distinct=distinct,
         segment_size=size,
         any_of={"has_x": F.col("tag") == "x"},
+        **more,
     )
-    assert got.columns == ["key", "segment", "group_size", "has_x", "items"]
+
+
+@pytest.mark.parametrize("distinct", [True, False])
+@pytest.mark.parametrize("ordered", [True, False])
+@pytest.mark.parametrize("size, broadcast", [(10_000, True), (70, True), (20, True), (20, False), (1, True)])
+def test_segments_match_brute_force(spark, distinct, ordered, size, broadcast):
+    rows = skewed_rows(size)
+    df = spark.createDataFrame(rows, "key string, n int, tag string").repartition(5)
     threshold = "spark.sql.autoBroadcastJoinThreshold"
     if not broadcast:
         spark.conf.set(threshold, "-1")
     try:
+        got = grouped(df, distinct, size, ordered=ordered)
         result = got.collect()
     finally:
         spark.conf.unset(threshold)
-    found = {
-        (r["key"], r["segment"]): (r["group_size"], r["has_x"], [tuple(i) for i in r["items"]])
-        for r in result
-    }
-    assert found == brute_force(rows, distinct, size)
-    assert all(len(items) <= size for _, _, items in found.values())
+    assert got.columns == ["key", "segment", "group_size", "has_x", "items"]
+    assert found(result) == brute_force(rows, distinct, size)
+    assert all(len(r["items"]) <= size for r in result)
+    if ordered:
+        places = [(r["key"] or "", r["segment"]) for r in result]
+        assert places == sorted(places)
+
+
+@pytest.mark.parametrize("sampled", [[], [("hot", 5, "x"), ("b", 1, "z")], [("hot", n, "x") for n in range(0, 400, 7)]])
+@pytest.mark.parametrize("distinct", [True, False])
+def test_the_sample_decides_nothing_but_the_layout(spark, sampled, distinct):
+    rows = skewed_rows(3)
+    df = spark.createDataFrame(rows, "key string, n int, tag string")
+    sample = spark.createDataFrame(sampled, df.schema)
+    assert found(grouped(df, distinct, 60, sample=sample).collect()) == brute_force(rows, distinct, 60)
+
+
+def test_few_borders_make_larger_slices(spark, monkeypatch):
+    monkeypatch.setattr(groups, "MOST_BORDERS", 8)
+    rows = skewed_rows(4)
+    df = spark.createDataFrame(rows, "key string, n int, tag string")
+    assert found(grouped(df, False, 20).collect()) == brute_force(rows, False, 20)
 
 
 def test_two_keys_and_empty_input(spark):
@@ -74,24 +101,22 @@ def test_two_keys_and_empty_input(spark):
 
 
 def test_hot_key_is_spread_over_tasks(spark, monkeypatch):
+    """A key of many items, and one of many copies of an item, become pieces of bounded size."""
     tables = []
 
     def keep(df):
         tables.append(written(df))
         return tables[-1]
 
-    # At this size the runtime would merge the slices again.
-    merging = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(merging, "false")
     monkeypatch.setattr(groups, "written", keep)
     rows = [("hot", n, "x") for n in range(4_000)] + [(f"k{n}", n, "x") for n in range(40)]
+    rows += [("copied", 7, "y")] * 3_000
     df = spark.createDataFrame(rows, "key string, n int, tag string")
-    try:
-        got = ordered_groups(df, ["key"], F.col("n"), distinct=True, segment_size=100).collect()
-    finally:
-        spark.conf.set(merging, "true")
+    got = ordered_groups(df, ["key"], F.col("n"), distinct=False, segment_size=100).collect()
     hot = [r for r in got if r["key"] == "hot"]
     assert [i for r in sorted(hot, key=lambda r: r["segment"]) for i in r["items"]] == list(range(4_000))
-    sliced = next(t for t in tables if "slice" in t.columns)
-    per_task = [r["count"] for r in sliced.groupBy("slice").count().collect()]
-    assert len(per_task) > 1 and max(per_task) < 3_000
+    layout = next(t for t in tables if "slice" in t.columns)
+    sizes = {(r["key"], r["slice"]): r["n"] for r in layout.collect()}
+    assert len([k for k in sizes if k[0] == "hot"]) > 20 and len([k for k in sizes if k[0] == "copied"]) > 15
+    assert max(sizes.values()) < 600
+    assert sum(sizes.values()) == len(rows)

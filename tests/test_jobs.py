@@ -196,3 +196,91 @@ def test_a_finished_job_leaves_no_table(spark, write, out):
 def test_command_line(spark, write, out):
     main(["word-count", write("a", "x"), out])
     assert read(spark, out) == ["x\t1"]
+
+
+def test_long_sessions_in_the_filter_jobs(spark, write, out, tmp_path, monkeypatch):
+    """A session of 300 events in rows of 20 is one large one; one of 60 has its own type."""
+    log = write(
+        "log",
+        *[line(user_id="large", event_type="show badges", event_timestamp=f"{i:03}") for i in range(300)],
+        *[line(user_id="split", event_type="visit badges", event_timestamp=f"{i:03}") for i in range(59)],
+        line(user_id="split", event_type="edit contact form", event_timestamp="999"),
+        line(user_id="short", event_type="visit badges"),
+    )
+    stored = str(tmp_path / "stored")
+    short_rows = partial(jobs.session_filter.sessionize, segment_events=20)
+    monkeypatch.setattr(
+        jobs.session_filter, "sessionize", lambda *a, segment_events, **more: short_rows(*a, **more)
+    )
+    built = JOBS["user-sessions"](spark, [log], stored)
+    assert built == {
+        "lines_read": 361, "rows_written": 19, "sessions_written": 3, "events_written": 361,
+    }
+    counters = JOBS["session-filter-counters"](spark, [stored], f"{out}-counters")
+    assert read(spark, f"{out}-counters") == ["3\t1\t0\t0"] and counters == {"sessions_read": 3}
+    binned = JOBS["session-bins"](spark, [stored], f"{out}-bins")
+    assert binned == {
+        "sessions_read": 3, "rows_written": 4, "written_submitter": 1, "written_clicker": 0,
+        "written_shower": 0, "written_visitor": 1, "written_other": 0,
+    }
+    assert {r["session_type"] for r in spark.read.parquet(f"{out}-bins").filter("user_id = 'split'").collect()} == {
+        "submitter"
+    }
+    filtered = JOBS["session-filter"](spark, [stored], f"{out}-filter")
+    assert (filtered["sessions_read"], filtered["large_discards"], filtered["rows_written"]) == (3, 1, 4)
+
+
+def test_counters_arrive_with_the_jobs(spark, write, out, tmp_path):
+    words = [write("w", "a b", "a"), write("v", "c")]
+    expected = {"lines_read": 3, "groups_written": 3, "words_out": 4}
+    assert JOBS["word-count"](spark, words, f"{out}-1") == expected
+    assert JOBS["word-count-sorted"](spark, words, f"{out}-2") == expected
+    assert JOBS["word-statistics"](spark, words, f"{out}-3") == {
+        "lines_read": 3, "words_written": 3, "words_out": 4,
+    }
+    verses = write("verses", "Gen:1:1 the sea", "Gen:1:2 the the earth")
+    assert JOBS["verse-index"](spark, [verses], f"{out}-4") == {
+        "lines_read": 2, "rows_written": 3, "words_written": 3,
+    }
+    assert JOBS["field-histogram"](spark, [write("l", line())], f"{out}-5")["lines_read"] == 1
+    logs = [write("l1", line(), line()), write("l2", line())]
+    assert JOBS["city-sessions"](spark, logs, f"{out}-6") == {
+        "lines_read": 3, "rows_written": 1, "sessions_written": 1, "events_written": 1,
+    }
+    cars = write("cars", "u1,show badges,t,v1,Used,2001,Kia,K,10.5,100", "u1,click badges,t,v1,Used,2001,Kia,K,10.5,100")
+    assert JOBS["vehicle-reports"](spark, [cars], f"{out}-7") == {
+        "lines_read": 2, "make_model_rows_written": 1, "year_rows_written": 1, "vin_rows_written": 2,
+    }
+
+
+def test_counters_of_empty_input(spark, write, out):
+    counts = JOBS["word-count"](spark, [write("none")], f"{out}-1")
+    assert set(counts.values()) <= {0}
+    assert set(JOBS["user-sessions"](spark, [write("no-log")], f"{out}-2").values()) <= {0}
+
+
+def test_city_sessions_as_tuples(spark, write, out):
+    a = write("a", line(event_type="click badges"), line(city="Waco", event_type="click contact form", event_timestamp="2"))
+    b = write("b", line(city="Waco", event_type="click badges", event_timestamp="1"))
+    JOBS["city-session-tuples"](spark, [a, b], out)
+    rows = spark.read.text(out).collect()
+    assert sorted(r["value"] for r in rows) == [
+        "((u1,Austin),[<click:badges,2015-01-01 10:00:00>])",
+        "((u1,Waco),[<click:badges,1>, <click:contact form,2>])",
+    ]
+    assert {r["city_bucket"] for r in rows} <= set(range(6))
+
+
+def test_email_posting_maps(spark, write, out):
+    a = write("a", "Message-ID: 2 From: p To: q, q, r Subject: s", "Message-ID: 1 From: p To: r Subject: s")
+    JOBS["email-postings"](spark, [a], out)
+    assert read(spark, out) == ["From:p\t1", "From:p\t2", "To:q\t2 2", "To:r\t1", "To:r\t2"]
+
+
+def test_routed_files_follow_the_bytes(spark, tmp_path):
+    """Forty reading tasks and three types make three files, not a hundred."""
+    path = str(tmp_path / "routed")
+    rows = spark.range(400).repartition(40).selectExpr("id", "concat('t', id % 3) AS session_type")
+    writers.write_routed(rows, path)
+    assert len(glob.glob(f"{path}/session_type=*/part-*")) <= 4
+    assert spark.read.parquet(path).count() == 400

@@ -69,17 +69,27 @@ def test_crowded_keys_read_the_key_only(spark, monkeypatch):
     monkeypatch.setattr(groups, "written", lambda df: seen.append(plan(df)) or write(df))
     rows = spark.read.parquet(f"{SF_DIR}/events.parquet").select("user_id", "event_type", "value")
     groups.ordered_groups(rows, ["user_id"], F.col("value"), distinct=True, segment_size=10_000)
-    assert "ReadSchema: struct<user_id:bigint>" in seen[1]
+    assert "ReadSchema: struct<user_id:bigint>" in seen[0] and "Sample" in seen[0]
 
 
-@pytest.mark.parametrize("name", ["verse_index_segments", "user_session_segments", "header_index"])
-def test_groups_derive_their_rows_once(spark, monkeypatch, name):
+@pytest.mark.parametrize("name", ["verse_index_segments", "user_session_segments", "header_index", "verse_index"])
+def test_groups_derive_and_shuffle_their_rows_once(spark, monkeypatch, name):
+    """All else that reads the input reads a sample; only sorted pieces are written."""
     from clickloom.operators import groups
 
     seen, write = [], groups.written
     monkeypatch.setattr(groups, "written", lambda df: seen.append(plan(df)) or write(df))
     result = plan(QUERIES[name](spark, SF_DIR))
-    assert [SF_DIR in text for text in [*seen, result]] == [True] + [False] * len(seen)
+    full = [text for text in [*seen, result] if SF_DIR in text and "Sample" not in text]
+    assert len(full) == 1 and "collect_" in full[0]
+    assert [s for s in shuffles(full[0]) if "Broadcast" not in s] == ["hashpartitioning"]
+
+
+def test_ordered_sessions_are_gathered_in_range_order(spark):
+    """The range shuffle carries events; the gathered arrays stay where they are."""
+    text = plan(QUERIES["user_day_sessions"](spark, SF_DIR))
+    assert shuffles(text) == ["rangepartitioning"]
+    assert text.index("collect_set") < text.index("Exchange rangepartitioning")
 
 
 def test_mileage_report_reads_its_own_columns(spark):
@@ -94,8 +104,3 @@ def test_sessions_are_chosen_before_they_are_gathered(spark, name):
     text = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     gather = re.search(r"collect_(set|list)", text).start()
     assert "Filter" not in text[:gather].replace("Filter isnotnull", "")
-
-
-def test_sessions_are_rendered_after_the_sort(spark):
-    text = QUERIES["user_day_sessions"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
-    assert text.index("array_join") < text.index("Sort [")
