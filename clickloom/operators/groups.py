@@ -65,6 +65,7 @@ def ordered_groups(
     keep: Column | None = None,
     max_items: int | None = None,
     sample: DataFrame | None = None,
+    unobserved: DataFrame | None = None,
     ordered: bool = False,
 ) -> DataFrame:
     """Sorted item arrays per key: ``keys, segment, group_size, flags, items``.
@@ -75,9 +76,10 @@ def ordered_groups(
     ``keep`` is a condition on keys and flags, and ``max_items`` the largest
     size: groups that fail either are left out before any of their items is
     gathered. ``sample`` may give rows derived from ``sampled`` sources, where
-    sampling the rows themselves would derive all of them. ``ordered`` gives the
-    result in the order of keys and segments: the rows are shuffled by range, so
-    that the gathered arrays need not be.
+    sampling the rows themselves would derive all of them. ``unobserved`` may
+    give the same rows without a job's counters, for the passes that prepare the
+    last one. ``ordered`` gives the result in the order of keys and segments: the
+    rows are shuffled by range, so that the gathered arrays need not be.
 
     The rows should come out of a scan: a task that is repeated has to draw the
     same numbers for copies of a row.
@@ -93,16 +95,17 @@ def ordered_groups(
         marks = [F.coalesce(c, F.lit(False)).alias(name) for name, c in conditions.items()]
         return df.select(*keys, item.alias(ITEM), *marks)
 
+    plain = rows if unobserved is None else unobserved
     if sample is None:
-        sample = sampled(rows, segment_size)
-    rows = derived(rows)
+        sample = sampled(plain, segment_size)
+    rows, plain = derived(rows), derived(plain)
     if keep is not None:
-        states = rows.groupBy(*keys).agg(*[F.bool_or(f).alias(f) for f in flags])
+        states = plain.groupBy(*keys).agg(*[F.bool_or(f).alias(f) for f in flags])
         dropped = states.filter(F.coalesce(~keep, F.lit(False))).select(*keys)
         rows = _join(rows, written(dropped), keys, "left_anti")
     borders = None
     if max_items is not None:
-        rows = _without_large(rows, keys, max_items, distinct)
+        rows = _without_large(rows, plain, keys, max_items, distinct)
     else:
         borders = _slice_borders(derived(sample), keys, segment_size)
     if borders is None:
@@ -117,14 +120,16 @@ def ordered_groups(
     return result.orderBy(*keys, "segment") if ordered else result
 
 
-def _without_large(rows: DataFrame, keys: list[str], most: int, distinct: bool) -> DataFrame:
+def _without_large(
+    rows: DataFrame, plain: DataFrame, keys: list[str], most: int, distinct: bool
+) -> DataFrame:
     """The rows of keys that have at most ``most`` items."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = plain.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     large = written(counts.filter(F.col("n") > most).select(*keys))
     if large.isEmpty():
         return rows
     if distinct:
-        several = _join(rows.select(*keys, ITEM), large, keys, "left_semi").distinct()
+        several = _join(plain.select(*keys, ITEM), large, keys, "left_semi").distinct()
         counts = several.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         large = written(counts.filter(F.col("n") > most).select(*keys))
     return _join(rows, large, keys, "left_anti")

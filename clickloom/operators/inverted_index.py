@@ -55,17 +55,20 @@ def header_index(
     *,
     distinct: bool = False,
     segment_size: int = SEGMENT_POSTINGS,
-    ordered: bool = False,
+    unobserved: DataFrame | None = None,
 ) -> DataFrame:
-    """Sorted message ids per key: ``key, segment, postings, message_ids``."""
+    """Sorted message ids per key: ``key, segment, postings, message_ids``.
+
+    ``unobserved`` may give the lines without a job's counters.
+    """
+    plain = lines if unobserved is None else unobserved
     groups = ordered_groups(
         header_addresses(lines, text),
         ["key"],
         F.col("message_id"),
         distinct=distinct,
         segment_size=segment_size,
-        sample=header_addresses(sampled(lines, segment_size), text),
-        ordered=ordered,
+        sample=header_addresses(sampled(plain, segment_size), text),
     )
     return groups.select(
         "key",
@@ -115,17 +118,24 @@ def verse_words(lines: DataFrame, text: Column) -> DataFrame:
 
 
 def verse_index(
-    lines: DataFrame, text: Column, *, segment_size: int = SEGMENT_POSTINGS, ordered: bool = False
+    lines: DataFrame,
+    text: Column,
+    *,
+    segment_size: int = SEGMENT_POSTINGS,
+    unobserved: DataFrame | None = None,
 ) -> DataFrame:
-    """Verses per word by book, chapter, verse: ``word, segment, postings, verses``."""
+    """Verses per word by book, chapter, verse: ``word, segment, postings, verses``.
+
+    ``unobserved`` may give the lines without a job's counters.
+    """
+    plain = lines if unobserved is None else unobserved
     groups = ordered_groups(
         verse_words(lines, text),
         ["word"],
         F.struct("book", "chapter", "chapter_label", "verse", "verse_label"),
         distinct=True,
         segment_size=segment_size,
-        sample=verse_words(sampled(lines, segment_size), text),
-        ordered=ordered,
+        sample=verse_words(sampled(plain, segment_size), text),
     )
     return groups.select(
         "word",

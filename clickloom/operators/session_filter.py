@@ -42,7 +42,11 @@ def session_profiles(events: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def typed_sessions(
-    events: DataFrame, keys: list[str], distinct: bool = True, segment_events: int = SEGMENT_EVENTS
+    events: DataFrame,
+    keys: list[str],
+    distinct: bool = True,
+    segment_events: int = SEGMENT_EVENTS,
+    unobserved: DataFrame | None = None,
 ) -> DataFrame:
     """Sorted sessions with ``session_type``.
 
@@ -51,7 +55,12 @@ def typed_sessions(
     """
     flags = type_flags()
     sessions = sessionize(
-        events, keys, distinct=distinct, segment_events=segment_events, any_of=flags
+        events,
+        keys,
+        distinct=distinct,
+        segment_events=segment_events,
+        any_of=flags,
+        unobserved=unobserved,
     )
     return sessions.withColumn("session_type", session_type_by_flags()).drop(*flags)
 
@@ -156,6 +165,7 @@ def city_sessions(
     events: DataFrame,
     segment_events: int = SEGMENT_EVENTS,
     keep: Column | None = None,
+    unobserved: DataFrame | None = None,
     ordered: bool = False,
 ) -> DataFrame:
     """Sessions per user and city with the flags of the SHOWER test.
@@ -170,6 +180,7 @@ def city_sessions(
         segment_events=segment_events,
         any_of=shower_flags(),
         keep=keep,
+        unobserved=unobserved,
         ordered=ordered,
     )
 
@@ -186,10 +197,14 @@ def sample_showers(
 
 
 def sampled_city_sessions(
-    events: DataFrame, rate: float = SHOWER_RATE, seed: int = 0, segment_events: int = SEGMENT_EVENTS
+    events: DataFrame,
+    rate: float = SHOWER_RATE,
+    seed: int = 0,
+    segment_events: int = SEGMENT_EVENTS,
+    unobserved: DataFrame | None = None,
 ) -> DataFrame:
     """The same sample from event rows; sessions left out are never gathered."""
-    return city_sessions(events, segment_events, keep=_kept(rate, seed))
+    return city_sessions(events, segment_events, _kept(rate, seed), unobserved)
 
 
 def city_session_metrics(

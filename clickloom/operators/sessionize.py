@@ -27,6 +27,7 @@ def sessionize(
     any_of: Mapping[str, Column] | None = None,
     keep: Column | None = None,
     max_events: int | None = None,
+    unobserved: DataFrame | None = None,
     ordered: bool = False,
 ) -> DataFrame:
     """Sorted sessions: ``keys, segment, session_events, flags, events``.
@@ -34,7 +35,7 @@ def sessionize(
     Events sort by time, then type, then the remaining fields. ``distinct``
     drops events equal in every field. Sessions that fail ``keep``, a condition
     on keys and flags, or have more than ``max_events`` events are never gathered.
-    ``ordered`` gives them in the order of keys and segments.
+    ``unobserved`` and ``ordered`` are those of ``ordered_groups``.
     """
     groups = ordered_groups(
         events,
@@ -45,6 +46,7 @@ def sessionize(
         any_of=any_of,
         keep=keep,
         max_items=max_events,
+        unobserved=unobserved,
         ordered=ordered,
     )
     return groups.withColumnsRenamed({"group_size": "session_events", "items": "events"})

@@ -88,8 +88,9 @@ def describe_words_fully(spark: SparkSession, inputs: Inputs, output: str) -> Co
 def index_emails(spark: SparkSession, inputs: Inputs, output: str) -> Counts:
     """Address key and its message ids in key order; a very long list takes several lines."""
     counters = Counters()
-    lines = counters.rows(sources.read_lines(spark, inputs), "lines_read")
-    index = header_index(lines, F.col("value"), ordered=True)
+    plain = sources.read_lines(spark, inputs)
+    lines = counters.rows(plain, "lines_read")
+    index = header_index(lines, F.col("value"), unobserved=plain).orderBy("key", "segment")
     keys = F.count_if(F.col("segment") == 0)
     index = counters.rows(index, "rows_written", keys_written=keys)
     sinks.write_tab_separated(index.select("key", "message_ids"), output)
@@ -110,8 +111,9 @@ def list_email_postings(spark: SparkSession, inputs: Inputs, output: str) -> Cou
 def index_verses(spark: SparkSession, inputs: Inputs, output: str) -> Counts:
     """Word and its verses in word order; a very long list takes several lines."""
     counters = Counters()
-    lines = counters.rows(sources.read_lines(spark, inputs), "lines_read")
-    index = verse_index(lines, F.col("value"), ordered=True)
+    plain = sources.read_lines(spark, inputs)
+    lines = counters.rows(plain, "lines_read")
+    index = verse_index(lines, F.col("value"), unobserved=plain).orderBy("word", "segment")
     words = F.count_if(F.col("segment") == 0)
     ordered = counters.rows(index, "rows_written", words_written=words)
     verses = F.concat(F.lit("["), F.col("verses"), F.lit("]"))
@@ -129,8 +131,11 @@ def count_fields(spark: SparkSession, inputs: Inputs, output: str) -> Counts:
 
 def _sessions_job(spark: SparkSession, inputs: Inputs, output: str, distinct: bool) -> Counts:
     counters = Counters()
-    log = counters.rows(sources.read_click_log(spark, inputs), "lines_read")
-    sessions = session_filter.typed_sessions(parse_events(log), ["user_id"], distinct)
+    plain = sources.read_click_log(spark, inputs)
+    log = counters.rows(plain, "lines_read")
+    sessions = session_filter.typed_sessions(
+        parse_events(log), ["user_id"], distinct, unobserved=parse_events(plain)
+    )
     sessions = counters.rows(
         sessions,
         "rows_written",
@@ -208,13 +213,16 @@ def describe_sessions(spark: SparkSession, inputs: Inputs, output: str) -> Count
     return counters.values()
 
 
-def _city_events(spark: SparkSession, inputs: Inputs, counters: Counters) -> DataFrame:
+def _city_events(spark: SparkSession, inputs: Inputs) -> DataFrame:
     logs = [parse_city_events(sources.read_click_log(spark, p)) for p in inputs]
-    return counters.rows(reduce(layout.union_events, logs), "lines_read")
+    return reduce(layout.union_events, logs)
 
 
 def _city_rows(spark: SparkSession, inputs: Inputs, counters: Counters) -> DataFrame:
-    sessions = session_filter.sampled_city_sessions(_city_events(spark, inputs, counters))
+    plain = _city_events(spark, inputs)
+    sessions = session_filter.sampled_city_sessions(
+        counters.rows(plain, "lines_read"), unobserved=plain
+    )
     events = city_events_text(F.col("events")).alias("events")
     return sessions.select("user_id", "city", "segment", "session_events", events)
 
@@ -250,7 +258,8 @@ def write_city_session_tuples(spark: SparkSession, inputs: Inputs, output: str)
 def report_city_metrics(spark: SparkSession, inputs: Inputs, output: str) -> Counts:
     """Events and sessions before and after the sample of city sessions."""
     counters = Counters()
-    metrics = session_filter.city_session_metrics(_city_events(spark, inputs, counters))
+    events = counters.rows(_city_events(spark, inputs), "lines_read")
+    metrics = session_filter.city_session_metrics(events)
     sinks.write_tab_separated(metrics, output)
     return counters.values()
 
