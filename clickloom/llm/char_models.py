@@ -270,7 +270,9 @@ def train(rows: DataFrame, table: Callable[[], np.ndarray], modified: bool = Fal
     return _train(written(counts), modified)
 
 
-def train_folds(rows: DataFrame, table: Callable[[], np.ndarray], folds: int) -> tuple[Model, Model]:
+def train_folds(
+    rows: DataFrame, table: Callable[[], np.ndarray], folds: int, modified: bool = False
+) -> tuple[Model, Model]:
     """Model of all rows, and models that leave out one fold of the texts each.
 
     Class ``f:cls`` of the second has the texts of ``cls`` outside fold ``f``;
@@ -283,7 +285,7 @@ def train_folds(rows: DataFrame, table: Callable[[], np.ndarray], folds: int) ->
     named = counts.select(part.alias("part"), "cls", "gram", "n").select(
         F.concat("part", "cls").alias("cls"), "gram", "n"
     )
-    found = _train(written(named.groupBy("cls", "gram").agg(F.sum("n").alias("n"))), False)
+    found = _train(written(named.groupBy("cls", "gram").agg(F.sum("n").alias("n"))), modified)
     if not found.classes:
         return found, found
     whole = {k: k[len("all:") :] for k in found.classes if k.startswith("all:")}

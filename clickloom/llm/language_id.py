@@ -12,7 +12,7 @@ vote together.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +51,10 @@ def train_languages(rows: DataFrame, lang: Column, text: Column) -> Model:
     return model
 
 
-def left_out_entropies(rows: DataFrame, others: Model) -> DataFrame:
-    """``cls, fold, key, entropy, square`` of each text with letters under the other folds' counts.
+def left_out_entropies(
+    rows: DataFrame, others: Model, symbol_table: Callable[[], np.ndarray] = letters_only, folds: int = FOLDS
+) -> DataFrame:
+    """``cls, fold, key, entropy, square`` of each text with symbols under the other folds' counts.
 
     ``others`` is the second of :func:`char_models.train_folds`. Texts without
     another fold are left out.
@@ -60,13 +62,13 @@ def left_out_entropies(rows: DataFrame, others: Model) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(others)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, models = letters_only(), {k: shared.value.columns({k: k}) for k in shared.value.classes}
+        table, models = symbol_table(), {k: shared.value.columns({k: k}) for k in shared.value.classes}
         for batch in char_models.in_pieces(batches):
             texts: dict[tuple[str, int], list[tuple[int, np.ndarray]]] = {}
             for cls, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 taken = symbols(text, table)
                 key = char_models.text_key(taken)
-                fold = char_models.fold_of(key, FOLDS)
+                fold = char_models.fold_of(key, folds)
                 if len(taken) and f"{fold}:{cls}" in models:
                     texts.setdefault((cls, fold), []).append((key, taken))
             for (cls, fold), found in texts.items():

@@ -4,7 +4,8 @@ A modified Kneser-Ney character model per language is trained on all documents
 whose label says good quality; its probabilities come from joins of count
 tables that are spread by n-gram and context. Every document gets its
 perplexity under its own language's model. The threshold of a language is a
-high quantile of the perplexities of its trusted documents, and a margin above.
+high quantile of the perplexities that its trusted documents have under models
+of the other ones.
 """
 
 from __future__ import annotations
@@ -18,18 +19,59 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import char_models
 from clickloom.llm.char_models import Model, all_symbols, symbols, text_costs
+from clickloom.llm.language_id import left_out_entropies
 from clickloom.session import written
 
-QUANTILE, MARGIN = 0.995, 1.3
+QUANTILE = 0.995
 ACCURACY = 10_000
+# Folds of the trusted texts for the thresholds.
+FOLDS = 2
+# Bits of the filter that drops untrusted rows where they are read: 8 MB, however many ids.
+FILTER_BITS = 1 << 26
 
 
-def train_trusted(docs: DataFrame, trusted: DataFrame) -> Model:
-    """Models per ``lang`` from the documents whose ``doc_id`` is in ``trusted``."""
-    rows = docs.select("doc_id", F.col("lang").alias("cls"), "text").join(
-        trusted.select("doc_id").distinct(), "doc_id", "left_semi"
+def trusted_rows(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``cls, text`` of the documents whose ``doc_id`` is in ``trusted``.
+
+    Only what passes a filter of fixed size over the ids is shuffled for the
+    exact join, which is of one kind at every size.
+    """
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    ids = trusted.select("doc_id").dropna().distinct()
+    filled = written(
+        ids.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bitmap")
+        )
     )
-    return char_models.train(rows, all_symbols, modified=True)
+    rows = docs.select(
+        "doc_id",
+        F.col("lang").cast("string").alias("cls"),
+        "text",
+        F.bitmap_bucket_number(place).alias("own_bucket"),
+        F.bitmap_bit_position(place).cast("int").alias("bit"),
+    )
+    # At most FILTER_BITS bits.
+    rows = rows.join(F.broadcast(filled), F.col("own_bucket") == F.col("bucket"))
+    byte = F.expr("conv(hex(substring(bitmap, bit div 8 + 1, 1)), 16, 10)").cast("int")
+    found = rows.withColumn("byte", byte).filter("(shiftright(byte, bit % 8) & 1) = 1")
+    found = found.select("doc_id", "cls", "text").hint("merge")
+    return found.join(ids, "doc_id", "left_semi").select("cls", "text")
+
+
+def train_trusted(rows: DataFrame) -> tuple[Model, dict[str, float]]:
+    """Models per ``cls`` of rows ``cls, text``, and the perplexity limit of each.
+
+    The limit is a high quantile of the perplexities of trusted texts under the
+    counts of the other fold; copies, and most near copies, have one vote
+    together. A class whose texts are all in one fold has no limit.
+    """
+    model, others = char_models.train_folds(rows.dropna(), all_symbols, FOLDS, modified=True)
+    if not model.classes:
+        return model, {}
+    left_out = left_out_entropies(rows.dropna(), others, all_symbols, FOLDS)
+    votes = left_out.groupBy("cls", "key").agg(F.avg("entropy").alias("entropy"))
+    limits = votes.groupBy("cls").agg(F.percentile_approx("entropy", QUANTILE, ACCURACY).alias("limit"))
+    return model, {r.cls: float(np.exp(r.limit)) for r in limits.collect()}  # a row per class
 
 
 def perplexities(docs: DataFrame, model: Model) -> DataFrame:
@@ -66,20 +108,14 @@ def judge_quality(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """``doc_id, lang, perplexity, threshold, keep``: one row per row of ``docs``.
 
     ``trusted`` holds the ``doc_id`` of trusted documents. A language without
-    trusted text, and a NULL language, takes the highest threshold of all.
+    a limit of its own, and a NULL language, takes the highest limit of all.
     Documents without a perplexity are not kept. Repeated rows give equal rows;
-    an empty table gives an empty result, and without trusted text nothing is
-    kept.
+    an empty table gives an empty result, and without trusted text, or with a
+    single one, nothing is kept. Other columns are not read, whatever their names.
     """
-    scores = written(perplexities(docs, train_trusted(docs, trusted)))
-    known = scores.join(trusted.select("doc_id").distinct(), "doc_id", "left_semi")
-    found = (
-        known.filter(F.col("perplexity").isNotNull() & F.col("lang").isNotNull())
-        .groupBy("lang")
-        .agg((F.percentile_approx("perplexity", QUANTILE, ACCURACY) * MARGIN).alias("threshold"))
-        .collect()  # a row per language
-    )
-    limits = {r.lang: float(r.threshold) for r in found}
+    # Counted and then scored: the join is not made twice.
+    model, limits = train_trusted(written(trusted_rows(docs, trusted)))
+    scores = perplexities(docs, model)
     if limits:
         pairs = [part for lang, limit in limits.items() for part in (F.lit(lang), F.lit(limit))]
         own = F.element_at(F.create_map(*pairs), F.col("lang"))

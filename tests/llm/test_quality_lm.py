@@ -1,9 +1,12 @@
 """Quality by perplexity on a small corpus, and odd rows."""
 
+import math
 import random
+from collections import Counter
 
 import pytest
 
+from clickloom.llm import char_models as cm
 from clickloom.llm import quality_lm
 
 DOCS = "doc_id long, text string, lang string, cls string, perplexity int, threshold int"
@@ -54,3 +57,82 @@ def test_nothing_trusted_or_to_judge(spark, corpus):
     assert len(rows) == 3 and not any(r.keep for r in rows)
     everyone = docs.select("doc_id")
     assert quality_lm.judge_quality(docs.limit(0), everyone).collect() == []
+
+
+def plain_model(texts):
+    """Modified Kneser-Ney by the definition: three discounts per order from counts of counts."""
+    table, counts = cm.all_symbols(), {4: Counter()}
+    for text in texts:
+        whole = [cm.START] * 3 + cm.symbols(text, table).tolist()
+        counts[4].update(tuple(whole[i - 3 : i + 1]) for i in range(3, len(whole)))
+    for n in (3, 2, 1):
+        counts[n] = Counter(gram[1:] for gram in counts[n + 1])
+    cuts = {}
+    for n, found in counts.items():
+        n1, n2, n3, n4 = (sum(v == k for v in found.values()) for k in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2) if n1 else 0.5
+        three = [y] * 3
+        if min(n1, n2, n3) > 0:
+            three = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+        cuts[n] = [min(max(d, 0.05), k - 0.05) for k, d in zip((1, 2, 3), three)]
+    after = {}
+    for n, found in counts.items():
+        for gram, v in found.items():
+            after.setdefault(gram[:-1], []).append(min(cuts[n][min(v, 3) - 1], v))
+
+    def probability(gram):
+        if not gram:
+            return 1 / (len(counts[1]) + 1)
+        found, lower = counts[len(gram)], probability(gram[1:])
+        if gram[:-1] not in after or not any(g[:-1] == gram[:-1] for g in found):
+            return lower
+        total = sum(v for g, v in found.items() if g[:-1] == gram[:-1])
+        v = found.get(gram, 0)
+        own = (v - min(cuts[len(gram)][min(v, 3) - 1], v)) / total if v else 0.0
+        return own + sum(after[gram[:-1]]) / total * lower
+
+    known = {}
+
+    def perplexity(text):
+        whole = [cm.START] * 3 + cm.symbols(text, table).tolist()
+        total = 0.0
+        for i in range(3, len(whole)):
+            gram = tuple(whole[i - 3 : i + 1])
+            if gram not in known:
+                known[gram] = -math.log(probability(gram))
+            total += known[gram]
+        return math.exp(total / (len(whole) - 3))
+
+    return perplexity
+
+
+def test_against_a_plain_model(spark):
+    """Perplexities, and the threshold as a quantile over the texts left out."""
+    rows = [(i, prose(i, 12) + (" Ünlike 42!" if i % 7 == 0 else ""), "en") for i in range(24)]
+    rows += [(i, rows[3][1], "en") for i in (24, 25)] + [(30, "quite §§ different", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(26)], "doc_id long")
+    got = {r.doc_id: r for r in quality_lm.judge_quality(docs, trusted).collect()}
+    texts = [t for i, t, _ in rows if i < 26]
+    whole = plain_model(texts)
+    for doc_id, text, _ in rows:
+        assert got[doc_id].perplexity == pytest.approx(whole(text), rel=1e-3)
+    keys = [cm.text_key(cm.symbols(t, cm.all_symbols())) for t in texts]
+    folds = [cm.fold_of(k, quality_lm.FOLDS) for k in keys]
+    models = [plain_model([t for t, f in zip(texts, folds) if f != fold]) for fold in range(quality_lm.FOLDS)]
+    votes = {k: models[f](t) for k, t, f in zip(keys, texts, folds)}
+    ranked = sorted(votes.values())
+    limit = ranked[math.ceil(quality_lm.QUANTILE * len(ranked)) - 1]
+    assert len(votes) == 24
+    (threshold,) = {r.threshold for r in got.values()}
+    assert threshold == pytest.approx(limit, rel=1e-3)
+
+
+def test_only_trusted_rows_train(spark):
+    """The filter lets no trusted row go and the join no other one through."""
+    rows = [(i, f"text {i}", "en") for i in [*range(300), 5, 5, None]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    trusted = spark.createDataFrame([(i,) for i in range(0, 400, 3)] + [(None,), (3,)], "doc_id long")
+    got = sorted(r.text for r in quality_lm.trusted_rows(docs, trusted).collect())
+    assert got == sorted(f"text {i}" for i in range(0, 300, 3))
+    assert quality_lm.trusted_rows(docs, trusted.limit(0)).collect() == []
