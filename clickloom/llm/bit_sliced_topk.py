@@ -9,9 +9,9 @@ once. The best rows are then selected from the most significant slice down; at
 the boundary the rows still in question have equal scores and the smaller ids
 are taken.
 
-Blocks of rows meet blocks of queries; each pair yields k rows per query, which
-a window ranks. The index is cut into blocks of bounded size, so no task holds
-more than one block of rows and one of queries.
+Rows and queries are dealt to cells of bounded size, a cell to a task. A task
+indexes its rows block by block and gets k rows per query from each, which a
+window ranks.
 """
 
 from __future__ import annotations
@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 from clickloom.session import written
 
 SCALE = 256
-BLOCK_ROWS, BLOCK_QUERIES = 16_384, 256
-# Quantised values keep to this many bits, so that scores keep to 64.
-VALUE_LIMIT = 1 << 27
+# Rows of an index block, and rows and queries that a task is dealt at most.
+BLOCK_ROWS, CELL_ROWS, CELL_QUERIES = 16_384, 1 << 16, 1024
 
 
 def usable(vector: Column) -> Column:
@@ -41,12 +40,12 @@ def usable(vector: Column) -> Column:
 
 
 def quantised(vector: Column) -> Column:
-    """``floor(256 x)`` of each component, x as double."""
-    limit = float(VALUE_LIMIT)
+    """``floor(256 x)`` of each component, x as double; an error where that needs over 64 bits."""
 
     def one(x: Column) -> Column:
-        scaled = F.floor(F.greatest(F.least(x.cast("double") * SCALE, F.lit(limit)), F.lit(-limit)))
-        return scaled.cast("bigint")
+        scaled = x.cast("double") * SCALE
+        error = F.raise_error(F.lit("a component does not fit 64 bits")).cast("bigint")
+        return F.when(F.abs(scaled) >= float(1 << 63), error).otherwise(F.floor(scaled).cast("bigint"))
 
     return F.transform(vector, one)
 
@@ -59,10 +58,11 @@ class Index:
         self.words = (self.rows + 63) // 64
         self.low = values.min(axis=0) if self.rows else np.zeros(self.attributes, np.int64)
         high = values.max(axis=0) if self.rows else self.low
-        self.bits = [int(h - l).bit_length() for h, l in zip(high, self.low)]
+        # The digits follow the range of the block, whatever it is.
+        self.bits = [(int(h) - int(l)).bit_length() for h, l in zip(high, self.low)]
         self.slices: list[list[np.ndarray]] = []
         for j, n in enumerate(self.bits):
-            offset = (values[:, j] - self.low[j]).astype(np.uint64)
+            offset = values[:, j].astype(np.uint64) - self.low[j].astype(np.uint64)
             self.slices.append([self.bitmap((offset >> np.uint64(b)) & np.uint64(1)) for b in range(n)])
         self.all = self.bitmap(np.ones(self.rows, np.uint8))
 
@@ -74,7 +74,7 @@ class Index:
     def rows_of(self, bitmap: np.ndarray) -> np.ndarray:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little")[: self.rows])
 
-    def score_slices(self, query: np.ndarray) -> tuple[list[np.ndarray], int]:
+    def score_slices(self, query: Iterable[int]) -> tuple[list[np.ndarray], int]:
         """Slices of every row's score, and the number to add to all of them.
 
         A negative constant adds the complement of an attribute instead, so
@@ -82,7 +82,7 @@ class Index:
         """
         columns: list[list[np.ndarray]] = []
         constant = 0
-        for j, factor in enumerate(query.tolist()):
+        for j, factor in enumerate(map(int, query)):
             constant += factor * int(self.low[j])
             slices = self.slices[j]
             if factor < 0:
@@ -148,38 +148,23 @@ class Index:
         return sorted(zip(chosen.tolist(), scores.tolist()), key=lambda r: (-r[1], r[0]))
 
 
-def _blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
-    """``name, length, ids, packed``: rows of equal length, at most ``size`` together.
-
-    Blocks are packed where the rows lie; the rows of a block are in id order.
-    """
-
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[int, list[int]]]] = {}
-
-        def block(length: int, found: list[tuple[int, list[int]]]) -> pa.RecordBatch:
-            found.sort(key=lambda r: r[0])
-            values = np.array([v for _, v in found], np.int64).reshape(len(found), length)
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([length], pa.int32()),
-                    pa.array([[i for i, _ in found]], pa.list_(pa.int64())),
-                    pa.array([values.tobytes()], pa.binary()),
-                ],
-                names=["length", "ids", "packed"],
-            )
-
-        for batch in batches:
-            for i, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = held.setdefault(len(values), [])
-                found.append((i, values))
-                if len(found) == size:
-                    yield block(len(values), held.pop(len(values)))
-        for length, found in held.items():
-            yield block(length, found)
-
-    packed = rows.mapInArrow(pack, "length int, ids array<bigint>, packed binary")
-    return packed.withColumn(name, F.expr("uuid()"))
+def _searched(
+    block: list[tuple[int, list[int]]], queries: list[tuple[int, list[int]]], k: int
+) -> Iterator[tuple[int, int, int]]:
+    """``query, row, score``: the k best rows of a block for each query, not of its own id."""
+    block.sort(key=lambda r: r[0])
+    ids = np.array([i for i, _ in block], np.int64)
+    index = Index(np.array([v for _, v in block], np.int64).reshape(len(block), -1))
+    for query_id, query in queries:
+        slices, constant = index.score_slices(query)
+        allowed = index.all
+        own = np.searchsorted(ids, query_id, "left"), np.searchsorted(ids, query_id, "right")
+        if own[0] < own[1]:
+            mine = np.zeros(index.rows, np.uint8)
+            mine[own[0] : own[1]] = 1
+            allowed = allowed & ~index.bitmap(mine)
+        for at, score in index.top(slices, k, allowed):
+            yield query_id, int(ids[at]), score + constant
 
 
 def top_k(
@@ -191,13 +176,14 @@ def top_k(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k best other rows of each query row.
 
-    The score is the integer inner product of the quantised vectors. Rows
+    The score is the integer inner product of the quantised vectors; a component
+    or a score in a list that needs more than 64 bits raises an error. Rows
     without an id, and vectors that are NULL or hold NULL or non-finite
     components, take no part, nor do vectors of another length than the query's.
     A row is never compared with rows of its own id; repeated ids count as often
-    as they occur and repeated queries give one list. Components beyond
-    2**27 / 256 are clipped there. With fewer than k candidates all are given;
-    an empty table on either side gives an empty result.
+    as they occur, and of queries with one id the smallest vector is asked for.
+    With fewer than k candidates all are given; an empty table on either side
+    gives an empty result.
     """
 
     def prepare(rows: DataFrame) -> DataFrame:
@@ -208,50 +194,49 @@ def top_k(
             .select("id", quantised(vector).alias("values"))
         )
 
-    index = written(_blocks(prepare(vectors), "row_block", BLOCK_ROWS))
-    asked = prepare(queries).dropDuplicates(["id"])
-    asked = written(_blocks(asked.repartition("id"), "query_block", BLOCK_QUERIES))
-    # Each block of queries goes to each block of rows of its length: the stated
-    # queries against all rows, in blocks.
-    addresses = index.select("length", "row_block")
-    pairs = asked.withColumnsRenamed({"ids": "query_ids", "packed": "query_packed"}).join(addresses, "length")
-    # Small rows make much work here, so tasks are not merged by their bytes.
+    index = written(prepare(vectors).withColumn("place", F.monotonically_increasing_id()))
+    asked = prepare(queries).groupBy("id").agg(F.min("values").alias("values"))
+    asked = written(asked.withColumn("place", F.monotonically_increasing_id()))
+    # Each cell of queries meets each cell of rows: the stated queries against
+    # all rows, in blocks. A task gets one cell; rows are dealt by their place.
     tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = pairs.repartition(tasks, "row_block").join(index.drop("length"), "row_block")
+    query_cells = max(1, -(-asked.count() // CELL_QUERIES))
+    row_cells = max(1, -(-index.count() // CELL_ROWS), -(-tasks // query_cells))
+
+    def dealt(rows: DataFrame, own: int, others: int, place: Column, is_row: bool) -> DataFrame:
+        other = F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias("other")
+        rows = rows.select("id", "values", F.pmod("place", F.lit(own)).alias("own"), other)
+        return rows.select(place.cast("int").alias("cell"), F.lit(is_row).alias("is_row"), "id", "values")
+
+    first = dealt(asked, query_cells, row_cells, F.col("own") * row_cells + F.col("other"), False)
+    then = dealt(index, row_cells, query_cells, F.col("other") * row_cells + F.col("own"), True)
+    cells = first.unionByName(then).repartitionById(query_cells * row_cells, F.col("cell"))
+    cells = cells.sortWithinPartitions("is_row").select("is_row", "id", "values")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None
-        for batch in batches:
-            for row in batch.to_pylist():
-                length = row["length"]
-                if row["row_block"] != last:
-                    ids = np.array(row["ids"], np.int64)
-                    values = np.frombuffer(row["packed"], np.int64).reshape(len(ids), length)
-                    last, held = row["row_block"], (ids, Index(values))
-                ids, block = held
-                asked = np.frombuffer(row["query_packed"], np.int64).reshape(
-                    len(row["query_ids"]), length
-                )
-                out: list[tuple[int, int, int]] = []
-                for query_id, query in zip(row["query_ids"], asked):
-                    slices, constant = block.score_slices(query)
-                    allowed = block.all
-                    own = np.searchsorted(ids, query_id, "left"), np.searchsorted(ids, query_id, "right")
-                    if own[0] < own[1]:
-                        mine = np.zeros(block.rows, np.uint8)
-                        mine[own[0] : own[1]] = 1
-                        allowed = allowed & ~block.bitmap(mine)
-                    for at, score in block.top(slices, k, allowed):
-                        out.append((query_id, int(ids[at]), score + constant))
-                columns = list(zip(*out)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"]
-                )
-
-    found = pairs.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
+        wanted: dict[int, list[tuple[int, list[int]]]] = {}  # by length
+        held: dict[int, list[tuple[int, list[int]]]] = {}
+
+        def found(length: int) -> pa.RecordBatch:
+            rows = list(_searched(held.pop(length), wanted.get(length, []), k))
+            columns = list(zip(*rows)) or [(), (), ()]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"]
+            )
+
+        for batch in batches:  # the queries first
+            for is_row, row_id, values in zip(*(c.to_pylist() for c in batch.columns)):
+                block = (held if is_row else wanted).setdefault(len(values), [])
+                block.append((row_id, values))
+                if is_row and len(block) == BLOCK_ROWS:
+                    yield found(len(values))
+        for length in list(held):
+            yield found(length)
+
+    best = cells.mapInArrow(search, "query_id bigint, vec_id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        found.withColumn("rank", F.row_number().over(order))
+        best.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )

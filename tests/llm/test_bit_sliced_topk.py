@@ -43,6 +43,29 @@ def test_odd_rows_and_ties(spark):
     assert bt.top_k(vectors, vectors.limit(0)).collect() == []
 
 
+def test_large_components(spark):
+    """Scores beyond what floating numbers hold exactly, and vectors of other lengths."""
+    rows = [(0, [1e6, 1.0]), (1, [2e6, 1.0]), (2, [1e6, 1.0]), (50, [3e6, 0.0]), (3, [1e6, 1.00390625]), (51, [1.0, -3e6])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = bt.top_k(vectors, vectors).collect()
+    assert {tuple(r) for r in got} == plain(rows, [i for i, _ in rows])
+    assert (50, 1, 1, 393216000000000000) in {tuple(r) for r in got}
+
+
+@pytest.mark.parametrize("x", [1e30, 1e12])
+def test_what_does_not_fit_is_an_error(spark, x):
+    vectors = spark.createDataFrame([(0, [x, x]), (1, [x, x])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits|too large|overflow|Overflow"):
+        bt.top_k(vectors, vectors).collect()
+
+
+def test_repeated_query_ids(spark):
+    rows = [(1, [2.0]), (1, [1.0]), (2, [3.0]), (3, [-1.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in bt.top_k(vectors, vectors.filter("vec_id < 3")).collect()}
+    assert got == {(1, 1, 2, 196608), (1, 2, 3, -65536), (2, 1, 1, 393216), (2, 2, 1, 196608), (2, 3, 3, -196608)}
+
+
 @pytest.mark.parametrize("n", [1, 3, 64, 65, 500])
 def test_index(n):
     rng = np.random.default_rng(n)
