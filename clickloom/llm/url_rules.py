@@ -3,7 +3,8 @@
 A given rule names a host, with all its subdomains, and the start of a path;
 the longest one that fits decides. Where none fits, rules mined from labelled
 pages decide: Spark's FP-growth finds combinations of URL tokens that go with a
-label, and those with enough support and confidence are kept. Rules of both
+label, and those with enough support and confidence are kept. Tokens that always
+occur together are mined as one item. Rules of both
 kinds are found by an inverted index, from a host or a rule's rarest token to
 the rules, so no URL is compared with all rules. Everything is DataFrame, SQL and
 MLlib code of the JVM.
@@ -115,31 +116,66 @@ def given_verdicts(urls: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return fits.groupBy("url").agg(F.min(rank).alias("best")).select("url", "best.rule", "best.rule_verdict")
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """``rule_id, tokens, size, mined_verdict, confidence, support`` from ``tokens, blocked``.
+def token_groups(baskets: DataFrame, least: float) -> DataFrame:
+    """``token, item``: the tokens in at least ``least`` baskets ``id, tokens``.
 
-    FP-growth over the tokens and the label of every labelled url; rules whose
-    consequent is a label. Tables without rows give no rules.
+    Tokens that are in the same baskets are one item, named after the first of
+    them. What baskets a token is in is told by its count and two independent
+    64-bit sums over them.
+    """
+    held = baskets.select("id", F.explode(F.array_distinct("tokens")).alias("token"))
+    known = held.groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.xxhash64("id", F.lit(k)).cast("decimal(20,0)")).alias(f"sum{k}") for k in (1, 2)],
+    )
+    together = ["n", "sum1", "sum2"]
+    frequent = written(known.filter(F.col("n") >= least))
+    items = frequent.groupBy(*together).agg(F.min("token").alias("item"))
+    return written(frequent.join(items, together).select("token", "item"))
+
+
+def in_items(sets: DataFrame, keys: list[str], groups: DataFrame) -> DataFrame:
+    """``keys, items`` for the rows of ``keys, tokens`` that hold a grouped token."""
+    tokens = sets.select(*keys, F.explode("tokens").alias("token"))
+    return tokens.join(groups, "token").groupBy(*keys).agg(F.collect_set("item").alias("items"))
+
+
+def mine(
+    labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE
+) -> tuple[DataFrame, DataFrame]:
+    """Rules ``rule_id, tokens, size, mined_verdict, confidence, support`` and groups ``token, item``.
+
+    FP-growth over the items and the label of every labelled url, ``tokens,
+    blocked``; rules whose consequent is a label. Tokens that always occur
+    together would give a rule for each of their subsets, all equally sure; they
+    are one item, and any of them in a url stands for it. Tables without rows
+    give no rules.
     """
     label = F.concat(F.lit(LABEL), F.when(F.col("blocked"), BLOCK).otherwise(ALLOW))
-    baskets = written(labelled.select(F.concat("tokens", F.array(label)).alias("items")))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
+    baskets = written(
+        labelled.select(F.monotonically_increasing_id().alias("id"), "tokens", label.alias("label"))
+    )
+    groups = token_groups(baskets, min_support * baskets.count())
+    found = in_items(baskets, ["id"], groups).withColumnRenamed("id", "item_id")
+    found = baskets.select("id", "label").join(found, F.col("id") == F.col("item_id"), "left")
+    none = F.array().cast("array<string>")
+    found = written(found.select(F.concat(F.coalesce("items", none), F.array("label")).alias("items")))
+    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(found)
     rules = model.associationRules.filter(
         (F.size("consequent") == 1) & F.get("consequent", 0).startswith(LABEL)
     )
     # A label among the conditions would ask for what is to be found.
     rules = rules.filter(~F.exists("antecedent", lambda t: t.startswith(LABEL)))
     tokens = F.array_sort("antecedent")
-    return written(
-        rules.select(
-            F.xxhash64(tokens).alias("rule_id"),
-            tokens.alias("tokens"),
-            F.size("antecedent").alias("size"),
-            F.substr(F.get("consequent", 0), F.lit(len(LABEL) + 1)).alias("mined_verdict"),
-            "confidence",
-            "support",
-        )
+    rules = rules.select(
+        F.xxhash64(tokens).alias("rule_id"),
+        tokens.alias("tokens"),
+        F.size("antecedent").alias("size"),
+        F.substr(F.get("consequent", 0), F.lit(len(LABEL) + 1)).alias("mined_verdict"),
+        "confidence",
+        "support",
     )
+    return written(rules), groups
 
 
 def without_redundant(rules: DataFrame) -> DataFrame:
@@ -166,16 +202,17 @@ def without_redundant(rules: DataFrame) -> DataFrame:
     return rules.join(needless, ["rule_id", "mined_verdict"], "left_anti")
 
 
-def mined_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def mined_verdicts(urls: DataFrame, rules: DataFrame, groups: DataFrame) -> DataFrame:
     """``url, mined_verdict, confidence`` of the surest mined rule, for urls that have one.
 
-    ``urls`` holds ``url, tokens``. A rule fits if the url has all its tokens.
+    ``urls`` holds ``url, tokens``. A rule fits if the url has a token of each
+    of its items.
     Among equally sure rules that with more support counts, then that which
     blocks. Each rule stands in the index under its rarest token alone, and is
     compared with the distinct token sets that hold this token.
     """
-    sets = written(urls.select("tokens").distinct())
-    held = sets.select("tokens", F.explode("tokens").alias("token"))
+    sets = written(in_items(urls.select("tokens").distinct(), ["tokens"], groups))
+    held = sets.select("tokens", "items", F.explode("items").alias("token"))
     frequency = held.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     rules = written(without_redundant(rules)).withColumnRenamed("tokens", "rule_tokens")
     index = written(
@@ -187,7 +224,7 @@ def mined_verdicts(urls: DataFrame, rules: DataFrame) -> DataFrame:
     rank = F.struct("confidence", "support", (F.col("mined_verdict") == BLOCK).alias("blocks"), "mined_verdict")
     best = written(
         held.join(index, "token")
-        .filter(F.forall("rule_tokens", lambda t: F.array_contains("tokens", t)))
+        .filter(F.forall("rule_tokens", lambda t: F.array_contains("items", t)))
         .groupBy("tokens")
         .agg(F.max(rank).alias("best"))
     )
@@ -221,11 +258,11 @@ def judge_urls(
         "url", host_of(url).alias("host"), path_of(url).alias("path"), "blocked"
     )
     training = parsed.select(tokens_of(url, "host", "path").alias("tokens"), "blocked")
-    mined = mine(training, min_support, min_confidence)
+    mined, groups = mine(training, min_support, min_confidence)
     judged = (
         urls.select("url", "host", "path")
         .join(given_verdicts(urls.select("url", "host", "path"), rules), "url", "left")
-        .join(mined_verdicts(urls.select("url", "tokens"), mined), "url", "left")
+        .join(mined_verdicts(urls.select("url", "tokens"), mined, groups), "url", "left")
     )
     # Written, so that the join below can split a url that very many pages have.
     judged = written(

@@ -1,7 +1,7 @@
 """URL verdicts against plain Python and a brute-force rule miner."""
 
 from collections import Counter
-from itertools import combinations
+from itertools import combinations, product
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,8 +50,19 @@ def test_mined_rules_against_brute_force(spark):
     data = pages.join(labels, "page_id").select(
         "url", "blocked", ur.host_of(url).alias("host"), ur.path_of(url).alias("path")
     ).select("url", ur.tokens_of(url, "host", "path").alias("tokens"), "blocked")
-    rules = ur.mine(data, 0.05, 0.6)
-    got = {(tuple(r.tokens), r.mined_verdict): (r.confidence, r.support) for r in rules.collect()}
+    rules, groups = ur.mine(data, 0.05, 0.6)
+    members = {}
+    for r in groups.collect():
+        members.setdefault(r.item, []).append(r.token)
+    # A rule stands for all that hold one or more tokens of each of its items.
+    got = {}
+    for r in rules.collect():
+        choices = [
+            [c for n in range(1, len(members[t]) + 1) for c in combinations(members[t], n)] for t in r.tokens
+        ]
+        for parts in product(*choices):
+            got[tuple(sorted(sum(parts, ()))), r.mined_verdict] = (r.confidence, r.support)
+    assert any(len(m) > 1 for m in members.values())
     rows = data.collect()
     total, blocked = Counter(), Counter()
     for r in rows:
@@ -66,7 +77,7 @@ def test_mined_rules_against_brute_force(spark):
                 expected[c, verdict] = (k / n, k / len(rows))
     assert got.keys() == expected.keys() and expected
     assert all(got[k] == pytest.approx(expected[k]) for k in got)
-    verdicts = {r.url: r.confidence for r in ur.mined_verdicts(data.select("url", "tokens").distinct(), rules).collect()}
+    verdicts = {r.url: r.confidence for r in ur.mined_verdicts(data.select("url", "tokens").distinct(), rules, groups).collect()}
     for r in rows:
         fits = [v[0] for (tokens, _), v in expected.items() if set(tokens) <= set(r.tokens)]
         assert verdicts.get(r.url) == (pytest.approx(max(fits)) if fits else None)
@@ -78,3 +89,14 @@ def test_a_mined_rule_blocks(spark):
     labels = spark.createDataFrame([(i, bool(i % 2)) for i in range(40)], "page_id long, blocked boolean")
     got = {r.page_id: r.verdict for r in ur.judge_urls(pages, labels, min_support=0.1).collect()}
     assert got[99] == "block" and got[1] == "block" and got[2] == "allow"
+
+
+def test_a_url_of_very_many_tokens(spark):
+    """One url of forty tokens on a third of the rows is one item, not 2 ** 40 sets."""
+    wide = "http://wide.net/" + "/".join(f"piece{n}" for n in range(40))
+    rows = [(i, wide if i % 3 == 0 else f"http://other.net/y{i % 5}") for i in range(300)]
+    pages = spark.createDataFrame([*rows, (999, "http://new.net/piece7")], "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 3 == 0) for i in range(300)], "page_id long, blocked boolean")
+    got = {r.page_id: r.verdict for r in ur.judge_urls(pages, labels).collect()}
+    assert all(got[i] == ("block" if i % 3 == 0 else "allow") for i in range(300))
+    assert got[999] == "block"
