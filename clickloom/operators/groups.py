@@ -2,7 +2,7 @@
 
 Posting lists and sessions both gather all items of a key into a sorted array.
 A small sample of the rows tells which keys are crowded, and where their items
-can be cut into slices of about ``segment_size``. All rows are then shuffled
+can be cut into slices of a few segments. All rows are then shuffled
 once, by key and slice, and gathered into sorted pieces; the pieces of a key
 follow each other in slice order. Most keys are one piece, which is the result.
 For the others, prefix counts over the pieces place every piece in its key, and
@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 
 from clickloom.session import written
 
-# Rows that the sample is expected to hold of a key that just fills a segment.
+# Segments that a piece holds; a key of no more is gathered as one piece.
+PIECE_SEGMENTS = 8
+# Rows that the sample is expected to hold of a key that just fills a piece.
 PROBED = 10
 # Slice borders of all crowded keys together, which every task is sent.
 MOST_BORDERS = 1 << 17
@@ -39,7 +41,7 @@ OWN_COLUMNS = frozenset(
 
 def probe_share(segment_size: int) -> float:
     """Share of the rows that has to be sampled to lay out segments of this size."""
-    return min(1.0, PROBED / segment_size)
+    return min(1.0, PROBED / (PIECE_SEGMENTS * segment_size))
 
 
 def sampled(rows: DataFrame, segment_size: int) -> DataFrame:
@@ -150,7 +152,7 @@ def _slice_borders(sample: DataFrame, keys: list[str], segment_size: int) -> Dat
     that, slices grow.
     """
     share = probe_share(segment_size)
-    expected = segment_size * share
+    expected = PIECE_SEGMENTS * segment_size * share
     counts = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     crowded = written(counts.filter(F.col("n") > (expected if share == 1 else expected / 2)))
     total = crowded.agg(F.sum("n")).first()[0]

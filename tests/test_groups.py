@@ -109,6 +109,7 @@ def test_hot_key_is_spread_over_tasks(spark, monkeypatch):
         return tables[-1]
 
     monkeypatch.setattr(groups, "written", keep)
+    monkeypatch.setattr(groups, "PIECE_SEGMENTS", 1)
     rows = [("hot", n, "x") for n in range(4_000)] + [(f"k{n}", n, "x") for n in range(40)]
     rows += [("copied", 7, "y")] * 3_000
     df = spark.createDataFrame(rows, "key string, n int, tag string")
