@@ -21,7 +21,7 @@ FOOTNOTE_LENGTH = 5
 _GAP = f"[{DELIMITERS}]+"
 _IN_TOKEN = f"[^{DELIMITERS}]"
 # Letters one by one: a class without ranges is a single table lookup.
-_NON_LETTER = f"[^{string.ascii_letters}{DELIMITERS}]"
+_LETTER = f"[{string.ascii_lowercase}]"
 
 
 def _leading_run(kind: str) -> str:
@@ -43,8 +43,11 @@ def _trailing_run(kind: str) -> str:
 
 _LEADING = _leading_run(f"[{LEADING_PUNCTUATION}]")
 _TRAILING = _trailing_run(f"[{TRAILING_PUNCTUATION}]")
-_LEADING_NON_LETTERS = _leading_run(_NON_LETTER)
-_TRAILING_NON_LETTERS = _trailing_run(_NON_LETTER)
+# What is left of a token between its stripped ends. Tried at the head of a token
+# only, so a long token without such a word is scanned once.
+_WORD = rf"(?<!{_IN_TOKEN})[{LEADING_PUNCTUATION}]*+({_IN_TOKEN}*[^{DELIMITERS}{TRAILING_PUNCTUATION}])"
+# From the first letter of a token to its last.
+_LETTER_WORD = rf"{_LETTER}(?:{_IN_TOKEN}*{_LETTER})?"
 _FOOTNOTE = rf"({_IN_TOKEN}{{{FOOTNOTE_LENGTH}}})(?<=\])(?!{_IN_TOKEN})"
 _DOUBLE_DASH = rf"(?<!{_IN_TOKEN})(?<!\n)({_IN_TOKEN}*?)--({_IN_TOKEN}*)"
 
@@ -63,6 +66,11 @@ def strip_punctuation(line: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(line, _LEADING, ""), _TRAILING, "")
 
 
+def stripped_words(line: Column) -> Column:
+    """The tokens of a line, stripped like that; empty ones are dropped."""
+    return F.regexp_extract_all(line, F.lit(_WORD), F.lit(1))
+
+
 def split_footnotes(line: Column) -> Column:
     """Cut the last five characters off tokens that end in ``]``.
 
@@ -79,23 +87,26 @@ def split_double_dash(line: Column) -> Column:
 
 def clean_words(line: Column) -> Column:
     """Lower-case words of a line with punctuation, footnotes and dashes resolved."""
-    plain = strip_punctuation(F.lower(F.translate(line, "\n", " ")))
-    cut = strip_punctuation(split_double_dash(strip_punctuation(split_footnotes(plain))))
+    plain = F.lower(F.translate(line, "\n", " "))
+    cut = split_double_dash(strip_punctuation(split_footnotes(strip_punctuation(plain))))
     has_cuts = F.contains(line, F.lit("]")) | F.contains(line, F.lit("--"))
-    return tokens(F.when(has_cuts, cut).otherwise(plain))
+    return F.when(has_cuts, stripped_words(cut)).otherwise(stripped_words(plain))
 
 
-def strip_non_letters(line: Column) -> Column:
-    """Drop everything but A-Z and a-z at both ends of every token of a line."""
-    return F.regexp_replace(
-        F.regexp_replace(line, _LEADING_NON_LETTERS, ""), _TRAILING_NON_LETTERS, ""
-    )
+def line_letter_words(line: Column) -> Column:
+    """Distinct lower-case words of a line, everything but A-Z and a-z stripped at the ends."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(line), F.lit(_LETTER_WORD), F.lit(0)))
 
 
 def letter_words(line_tokens: Column) -> Column:
-    """Distinct lower-case words of a token array, non-letters stripped at the ends."""
-    text = F.lower(F.array_join(line_tokens, " "))
-    return F.array_distinct(tokens(strip_non_letters(text)))
+    """The same of a token array."""
+    return line_letter_words(F.array_join(line_tokens, " "))
+
+
+def first_token(line: Column) -> tuple[Column, Column]:
+    """The first token of a line, empty if there is none, and what follows it."""
+    head = F.regexp_extract(line, f"{_IN_TOKEN}+", 0)
+    return head, F.substr(line, F.instr(line, head) + F.length(head))
 
 
 def section(line_tokens: Column, start: str, stop: str) -> Column:

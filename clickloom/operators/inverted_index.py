@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.text import letter_words, section, tokens
+from clickloom.functions.text import first_token, line_letter_words, section, tokens
 from clickloom.operators.groups import ordered_groups, sampled
 
 # A posting list longer than this is split into several rows.
@@ -95,7 +95,8 @@ def verse_words(lines: DataFrame, text: Column) -> DataFrame:
     A chapter or verse that is no number stands in ``chapter_label`` or
     ``verse_label``; it sorts before the numbers and prints as written.
     """
-    words, reference = F.col("words"), F.col("reference")
+    reference = F.col("reference")
+    head, rest = first_token(text)
 
     def number(place: int) -> Column:
         return F.get(reference, place).try_cast("bigint")
@@ -104,16 +105,26 @@ def verse_words(lines: DataFrame, text: Column) -> DataFrame:
         return F.when(number(place).isNull(), F.get(reference, place))
 
     return (
-        lines.select(tokens(text).alias("words"))
-        .select(F.split(F.get(words, 0), ":").alias("reference"), "words")
+        lines.select(F.split(head, ":").alias("reference"), rest.alias("rest"))
+        # Read once a line, below the explosion into words.
         .select(
-            F.explode(letter_words(F.slice(words, F.lit(2), F.size(words)))).alias("word"),
+            "rest",
             F.get(reference, 0).alias("book"),
             number(1).alias("chapter"),
             label(1).alias("chapter_label"),
             number(2).alias("verse"),
             label(2).alias("verse_label"),
         )
+        # The words stay inside the explosion: for a column of arrays the optimizer
+        # adds a filter that cuts every line a second time.
+        .select(
+            F.explode(line_letter_words(F.col("rest"))).alias("word"),
+            "book",
+            "chapter",
+            "chapter_label",
+            "verse",
+            "verse_label",
+        )
     )
 
 

@@ -151,3 +151,11 @@ def test_renderings(spark):
         posting_map_text(F.create_map(F.lit(1), F.lit("x"), F.lit(2), F.lit("y"))),
     )
     assert tuple(row.first()) == ("7,0.5,0.25", "x y")
+
+
+def test_words_of_odd_letters(lines):
+    # A letter beyond 16 bits inside a word stays; one that is no a-z ends at the borders.
+    got = lines("z-𝒜z é𝒜kKé ---- a" + "-" * 50_000 + "b").select(letter_words(tokens(F.col("value")))).first()[0]
+    assert got == ["z-𝒜z", "kk", "a" + "-" * 50_000 + "b"]
+    got = lines("." * 200_000, '_"a.' + "." * 100_000, "x" * 100_000).select(clean_words(F.col("value"))).collect()
+    assert [r[0] for r in got] == [[], ["a"], ["x" * 100_000]]
