@@ -258,14 +258,31 @@ class _Path:
 
 
 class TextDecoder:
-    """Ids to text, one by one: bytes that do not yet make a character wait."""
+    """Ids to text, some at a time, with a state that does not grow.
 
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary = vocabulary
+    As bytes, a word end becomes a blank, and bytes that do not yet make a
+    character wait. ``joined`` decodes as the library does where the file names
+    no decoder: tokens as they stand in the vocabulary, a blank between each two;
+    all that waits is whether a token came before.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, joined: bool = False) -> None:
+        self.vocabulary, self.joined = vocabulary, joined
+        self.started = False
         self.byte_of = {s: b for b, s in enumerate(byte_symbols())}
         self.pending = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def push(self, token_id: int) -> str:
+    def push(self, ids: Iterable[int]) -> str:
+        """The text that is certain after these ids."""
+        if not self.joined:
+            return "".join(map(self._as_bytes, ids))
+        text = " ".join(map(self.vocabulary.tokens.__getitem__, ids))
+        if text and self.started:
+            text = " " + text
+        self.started = self.started or bool(text)
+        return text
+
+    def _as_bytes(self, token_id: int) -> str:
         token = self.vocabulary.tokens[token_id]
         if token in self.vocabulary.special:
             return self.pending.decode(b"", True) + token
@@ -336,19 +353,14 @@ class Codec:
                 yield b"".join([self.words[w] for w in words[at : at + DIGEST_WORDS]])
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of tokens, and SHA-256 of the ids and of the decoded text.
-
-        The decoded text is what the library makes where the file names no
-        decoder: the tokens with a blank between each two.
-        """
+        """Number of tokens, and SHA-256 of the ids and of the text that they decode to."""
         n, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
-        token = self.vocabulary.tokens.__getitem__
+        decoder = TextDecoder(self.vocabulary, joined=True)
         for data in self.pieces(text):
-            if data:
-                tokens = " ".join(map(token, np.frombuffer(data, "<u4").tolist()))
-                decoded.update((" " + tokens if n else tokens).encode())
-                ids.update(data)
-                n += len(data) // 4
+            ids.update(data)
+            decoded.update(decoder.push(np.frombuffer(data, "<u4").tolist()).encode())
+            n += len(data) // 4
+        decoded.update(decoder.finish().encode())
         return n, ids.hexdigest(), decoded.hexdigest()
 
     def encode(self, text: str) -> list[int]:
@@ -432,8 +444,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
                 texts = []
                 for ids in batch.column(1).to_pylist():
                     decoder = TextDecoder(codec.vocabulary)
-                    pieces = [decoder.push(i) for i in ids or []]
-                    texts.append("".join([*pieces, decoder.finish()]).rstrip(" "))
+                    texts.append((decoder.push(ids or []) + decoder.finish()).rstrip(" "))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(texts, pa.string())], names=["id", "text"]
                 )

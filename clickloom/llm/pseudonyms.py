@@ -15,6 +15,7 @@ result ever has to be drawn again.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,12 +25,14 @@ DEMO_KEY = "clickloom-demonstration-key"
 
 EMAIL = r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]*[A-Za-z0-9])+"
 IP = r"(?<![\p{L}\p{N}.])\d{1,3}(?:\.\d{1,3}){3}(?![\p{L}\p{N}]|\.\d)"
-DATE = r"(?<![\p{L}\p{N}./-])(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?![\p{L}\p{N}]|[./-]\d)"
+DATE = r"(?<![\p{L}\p{N}./-])(?:\d{4}-\d\d-\d\d|\d\d\.\d\d\.\d{4}|\d\d/\d\d/\d{4})(?!(?!T\d\d:)[\p{L}\p{N}]|[./-]\d)"
 SSN = r"(?<![\p{L}\p{N}-])\d{3}-\d\d-\d{4}(?![\p{L}\p{N}]|-\d)"
 CARD = r"(?<![\p{L}\p{N}+-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}]|-\d)"
 PHONE = (
     r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{3,4}(?![\p{L}\p{N}]|-\d)"
     r"|(?<![\p{L}\p{N}+])\+\d{8,15}(?![\p{L}\p{N}])"
+    r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]\(?\d{2,5}\)?){0,2}[ .-]\d{3,8}(?![\p{L}\p{N}]|-\d)"
+    r"|(?<![\p{L}\p{N}+(./-])(?:\(0\d{1,4}\) ?|0\d{1,4}[ /-])\d{5,8}(?![\p{L}\p{N}]|[./-]\d)"
 )
 CANDIDATE = "|".join((EMAIL, IP, DATE, SSN, CARD, PHONE))
 
@@ -220,8 +223,8 @@ def is_phone(match: Column) -> Column:
 
 
 def phone(key: Key, match: Column) -> Column:
-    """The country code stays."""
-    code = F.regexp_extract(match, r"^\+\d{1,3}(?=[^0-9])|^\+\d\d", 0)
+    """The country code stays, or the zero in front of a local number of two groups."""
+    code = F.regexp_extract(match, r"^\+\d{1,3}(?=[^0-9])|^\+\d\d|^\(?0(?=\d{1,4}\)?[ /-]?\d{5,8}$)", 0)
     rest = F.substr(match, F.length(code) + 1)
     return F.concat(code, filled(rest, permuted_digits(key, "phone", digits_of(rest))))
 
@@ -287,19 +290,21 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: Key = Key()) -> D
     All rows stay, in any number. NULL and empty texts, and texts without a valid
     value, stay as they are with counts of zero. Candidates that fail validation
     (a wrong check digit, month 13, octet 300) are left alone. Columns named like
-    a count are replaced by it.
+    a count are replaced by it; all others stay, whatever their names.
     """
+    taken = {c.lower() for c in docs.columns}
+    found_col, kinds_col = (next(n for i in count() if (n := f"{stem}_{i}") not in taken) for stem in ("found", "kinds"))
     text = F.col(f"`{text_col}`")
-    held = docs.withColumn("__found", F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
+    held = docs.withColumn(found_col, F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)))
     held = held.withColumn(
-        "__kinds",
-        F.when(F.size("__found") > 0, F.transform("__found", kind_of)).otherwise(
+        kinds_col,
+        F.when(F.size(found_col) > 0, F.transform(found_col, kind_of)).otherwise(
             F.array().cast("array<string>")
         ),
     )
-    valid = F.exists("__kinds", lambda kind: kind.isNotNull())
+    valid = F.exists(kinds_col, lambda kind: kind.isNotNull())
     values = F.zip_with(
-        "__found", "__kinds", lambda match, kind: F.coalesce(pseudonym(key, match, kind), match)
+        found_col, kinds_col, lambda match, kind: F.coalesce(pseudonym(key, match, kind), match)
     )
     pieces = F.zip_with(
         F.split(text, CANDIDATE, -1), values,
@@ -307,8 +312,8 @@ def pseudonymize(docs: DataFrame, text_col: str = "text", key: Key = Key()) -> D
     )
     held = held.withColumn(text_col, F.when(valid, F.array_join(pieces, "")).otherwise(text))
 
-    def count(kind: str) -> Column:
-        return F.size(F.filter("__kinds", lambda k: k == kind)).cast("bigint")
+    def held_of(kind: str) -> Column:
+        return F.size(F.filter(kinds_col, lambda k: k == kind)).cast("bigint")
 
-    counts = {f"found_{kind}": count(kind) for kind in KINDS}
-    return held.withColumns(counts).drop("__found", "__kinds")
+    counts = {f"found_{kind}": held_of(kind) for kind in KINDS}
+    return held.withColumns(counts).drop(found_col, kinds_col)

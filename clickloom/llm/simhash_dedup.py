@@ -230,7 +230,9 @@ def close_links(fps: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_root: bool = False
+) -> DataFrame:
     """``id_col, fp, component_id`` for every row of ``docs``.
 
     ``component_id`` is the smallest id reachable over links of fingerprints
@@ -238,7 +240,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fingerprint zero and link like any other. Repeated rows give equal rows. A
     row without an id keeps its fingerprint and takes its group's component,
     but no component is named after it. An empty table gives an empty result.
+    ``with_root`` adds the ``root``, one fingerprint of the component: where rows of
+    one id have different texts, two components may be named after the same id.
     """
+    own = ["root"] if with_root else []
     prints = written(fingerprints(docs, id_col, text_col))
     groups = written(prints.groupBy("fp").agg(F.min(id_col).alias("smallest")))
     roots = connected_components(close_links(groups.select("fp")), "a", "b")
@@ -249,8 +254,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # A component may hold very many fingerprints, so its smallest id is merged
     # in an aggregation and joined back to a written table.
     least = written(labelled.groupBy("root").agg(F.min("smallest").alias("component_id")))
-    named = written(labelled.join(least, "root").select("fp", "component_id"))
-    return prints.join(named, "fp").select(id_col, "fp", "component_id")
+    named = written(labelled.join(least, "root").select("fp", "component_id", *own))
+    return prints.join(named, "fp").select(id_col, "fp", "component_id", *own)
 
 
 def fingerprint_text(fp: str = "fp"):

@@ -9,7 +9,7 @@ import tokenizers
 import xxhash
 
 import corpus_pipeline
-from clickloom.llm import decontaminate, language_id
+from clickloom.llm import decontaminate, id_filter, language_id
 from clickloom.llm.queries import VOCABULARY
 from clickloom.session import written
 
@@ -119,3 +119,23 @@ def test_empty_documents(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    def text(seed):
+        return " ".join(f"w{seed}x{i}" for i in range(60))
+
+    rows = [(1, text(1)), (2, text(1)), (2, text(2)), (3, text(3)), (3, text(4)), (3, text(4)), (4, text(4)), (5, None)]
+    docs = written(spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row int"))
+    kept = sorted((r.doc_id, r.text or "") for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect())
+    assert kept == [(1, text(1)), (2, text(2)), (3, text(3)), (3, text(4)), (5, "")]
+    unique = written(docs.filter("row in (0, 3, 6, 7)"))
+    assert {r.row for r in corpus_pipeline.one_of_each_group(spark, unique, SF).collect()} == {0, 3, 6, 7}
+
+
+def test_filter_leaves_out_the_ids_and_nothing_else(spark):
+    rows = spark.range(20_000).selectExpr("if(id % 100 = 99, null, id) AS id", "id AS n")
+    ids = spark.range(0, 30_000, 3).selectExpr("if(id = 0, null, id) AS other")
+    kept = sorted(r.n for r in id_filter.without_ids(rows, "id", ids, "other").collect())
+    assert kept == [n for n in range(20_000) if n % 100 == 99 or n % 3 or n == 0]
+    assert id_filter.without_ids(rows, "id", ids.limit(0), "other").count() == 20_000

@@ -112,3 +112,24 @@ def test_addresses_behind_signs_and_cards_in_three_groups(spark):
         assert found[i] != text and len(found[i]) == len(text)
     assert found[0][0] == "-" and found[1].startswith("see _")
     assert all("jane" not in found[i] for i in (0, 1))
+
+
+def test_local_and_spaced_phones_and_timestamps(spark):
+    texts = [
+        "+49 30 1234567", "(030) 1234567", "030 1234567", "+44 20 7946 0958", "at 1999-12-31T10:00 sharp",
+        "0 12345", "page 2030 1234567", "1999-12-31Teil", "030 12", "v1.030 1234567",
+    ]
+    rows = run(spark, texts)
+    for i, kept in enumerate(["+49 ", "(0", "0", "+44 ", "at "]):
+        assert rows[i].text != texts[i] and rows[i].text.startswith(kept) and len(rows[i].text) == len(texts[i])
+    assert rows[4].text.endswith("T10:00 sharp") and [r.text for r in rows[5:]] == texts[5:]
+    assert [r.found_phone for r in rows] == [1, 1, 1, 1, 0, 0, 0, 0, 0, 0]
+    back = run(spark, [r.text for r in rows], ps.Key(undo=True))
+    assert [r.text for r in back] == texts
+
+
+def test_clashing_helper_names(spark):
+    names = ["__found", "found_0", "KINDS_0", "__kinds"]
+    docs = spark.createDataFrame([(1, "10.0.0.1", *"abcd")], ["doc_id", "text", *names])
+    row = ps.pseudonymize(docs).first()
+    assert [row[n] for n in names] == list("abcd") and row.found_ip == 1 and row.text != "10.0.0.1"
