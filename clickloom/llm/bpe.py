@@ -23,6 +23,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -257,6 +258,12 @@ class _Path:
         return done
 
 
+@cache
+def symbol_bytes() -> dict[str, int]:
+    """The byte that a symbol stands for."""
+    return {s: b for b, s in enumerate(byte_symbols())}
+
+
 class TextDecoder:
     """Ids to text, some at a time, with a state that does not grow.
 
@@ -269,7 +276,7 @@ class TextDecoder:
     def __init__(self, vocabulary: Vocabulary, joined: bool = False) -> None:
         self.vocabulary, self.joined = vocabulary, joined
         self.started = False
-        self.byte_of = {s: b for b, s in enumerate(byte_symbols())}
+        self.byte_of = symbol_bytes()
         self.pending = codecs.getincrementaldecoder("utf-8")("replace")
 
     def push(self, ids: Iterable[int]) -> str:
