@@ -136,3 +136,12 @@ def test_only_trusted_rows_train(spark):
     got = sorted(r.text for r in quality_lm.trusted_rows(docs, trusted).collect())
     assert got == sorted(f"text {i}" for i in range(0, 300, 3))
     assert quality_lm.trusted_rows(docs, trusted.limit(0)).collect() == []
+
+
+def test_untrusted_rows_are_left_out_below_the_shuffle(spark):
+    docs = [(i, prose(i), "en", "x", 1, 1) for i in (1, 2, 2, 3)] + [(None, "a", "en", "x", 1, 1)]
+    trusted = spark.createDataFrame([(2,), (2,), (3,), (None,), (9,)], "doc_id long")
+    found = quality_lm.trusted_rows(spark.createDataFrame(docs, DOCS), trusted)
+    assert sorted(r.text for r in found.collect()) == sorted(prose(i) for i in (2, 2, 3))
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("BroadcastHashJoin")
