@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.text import first_token, line_letter_words, section, tokens
 from clickloom.operators.groups import ordered_groups, sampled
+from clickloom.operators.postings import posting_lists
 
 # A posting list longer than this is split into several rows.
 SEGMENT_POSTINGS = 100_000
@@ -89,12 +90,8 @@ def message_postings(entries: DataFrame) -> DataFrame:
     return counted.select("key", "message_id", F.map_from_arrays(numbers, ids).alias("postings"))
 
 
-def verse_words(lines: DataFrame, text: Column) -> DataFrame:
-    """``word, book, chapter, verse`` and labels for the distinct words of each verse line.
-
-    A chapter or verse that is no number stands in ``chapter_label`` or
-    ``verse_label``; it sorts before the numbers and prints as written.
-    """
+def _reference(lines: DataFrame, text: Column) -> DataFrame:
+    """``rest, book, chapter, verse`` and labels per line, read once a line."""
     reference = F.col("reference")
     head, rest = first_token(text)
 
@@ -104,27 +101,62 @@ def verse_words(lines: DataFrame, text: Column) -> DataFrame:
     def label(place: int) -> Column:
         return F.when(number(place).isNull(), F.get(reference, place))
 
+    return lines.select(F.split(head, ":").alias("reference"), rest.alias("rest")).select(
+        "rest",
+        F.get(reference, 0).alias("book"),
+        number(1).alias("chapter"),
+        label(1).alias("chapter_label"),
+        number(2).alias("verse"),
+        label(2).alias("verse_label"),
+    )
+
+
+def verse_words(lines: DataFrame, text: Column) -> DataFrame:
+    """``word, book, chapter, verse`` and labels for the distinct words of each verse line.
+
+    A chapter or verse that is no number stands in ``chapter_label`` or
+    ``verse_label``; it sorts before the numbers and prints as written.
+    """
+    # The words stay inside the explosion: for a column of arrays the optimizer
+    # adds a filter that cuts every line a second time.
+    return _reference(lines, text).select(
+        F.explode(line_letter_words(F.col("rest"))).alias("word"),
+        "book",
+        "chapter",
+        "chapter_label",
+        "verse",
+        "verse_label",
+    )
+
+
+def _text_order(value: Column) -> Column:
+    """Sorts as ``value``, whatever follows: no other character is below the closing one."""
+    return F.concat(F.replace(value, F.lit("\0"), F.lit("\0\2")), F.lit("\0\1"))
+
+
+def _number_order(number: Column, label: Column) -> Column:
+    """A text that sorts as the number, or before all numbers as the label, or first without both."""
+    digits = number.cast("string")
+    # Without its sign bit a negative number is counted from the smallest one.
+    below = F.hex(number.bitwiseAND(F.lit((1 << 63) - 1)))
     return (
-        lines.select(F.split(head, ":").alias("reference"), rest.alias("rest"))
-        # Read once a line, below the explosion into words.
-        .select(
-            "rest",
-            F.get(reference, 0).alias("book"),
-            number(1).alias("chapter"),
-            label(1).alias("chapter_label"),
-            number(2).alias("verse"),
-            label(2).alias("verse_label"),
-        )
-        # The words stay inside the explosion: for a column of arrays the optimizer
-        # adds a filter that cuts every line a second time.
-        .select(
-            F.explode(line_letter_words(F.col("rest"))).alias("word"),
-            "book",
-            "chapter",
-            "chapter_label",
-            "verse",
-            "verse_label",
-        )
+        F.when(number >= 0, F.concat(F.lit("3"), F.lpad(F.length(digits).cast("string"), 2, "0"), digits))
+        .when(number < 0, F.concat(F.lit("2"), F.lpad(below, 16, "0")))
+        .when(label.isNotNull(), F.concat(F.lit("1"), _text_order(label)))
+        .otherwise(F.lit("0"))
+    )
+
+
+def verse_lines(lines: DataFrame, text: Column) -> DataFrame:
+    """``words, key, text`` of each verse line: its distinct words, its reference to sort by and to print."""
+    return _reference(lines, text).select(
+        line_letter_words(F.col("rest")).alias("words"),
+        F.concat(
+            _text_order(F.col("book")),
+            _number_order(F.col("chapter"), F.col("chapter_label")),
+            _number_order(F.col("verse"), F.col("verse_label")),
+        ).alias("key"),
+        F.concat_ws(":", "book", "chapter", "chapter_label", "verse", "verse_label").alias("text"),
     )
 
 
@@ -140,25 +172,14 @@ def verse_index(
     ``unobserved`` may give the lines without a job's counters.
     """
     plain = lines if unobserved is None else unobserved
-    groups = ordered_groups(
-        verse_words(lines, text),
-        ["word"],
-        F.struct("book", "chapter", "chapter_label", "verse", "verse_label"),
-        distinct=True,
+    lists = posting_lists(
+        verse_lines(lines, text),
         segment_size=segment_size,
-        sample=verse_words(sampled(plain, segment_size), text),
+        sample=verse_lines(sampled(plain, segment_size), text),
     )
-    return groups.select(
+    return lists.select(
         "word",
         "segment",
         F.col("group_size").alias("postings"),
-        F.array_join(
-            F.transform(
-                "items",
-                lambda r: F.concat_ws(
-                    ":", r["book"], r["chapter"], r["chapter_label"], r["verse"], r["verse_label"]
-                ),
-            ),
-            ", ",
-        ).alias("verses"),
+        F.array_join("items", ", ").alias("verses"),
     )
