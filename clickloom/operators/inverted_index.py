@@ -138,25 +138,35 @@ def _number_order(number: Column, label: Column) -> Column:
     """A text that sorts as the number, or before all numbers as the label, or first without both."""
     digits = number.cast("string")
     # Without its sign bit a negative number is counted from the smallest one.
-    below = F.hex(number.bitwiseAND(F.lit((1 << 63) - 1)))
+    below = F.lpad(F.hex(number.bitwiseAND(F.lit((1 << 63) - 1))), 16, "0")
     return (
-        F.when(number >= 0, F.concat(F.lit("3"), F.lpad(F.length(digits).cast("string"), 2, "0"), digits))
-        .when(number < 0, F.concat(F.lit("2"), F.lpad(below, 16, "0")))
-        .when(label.isNotNull(), F.concat(F.lit("1"), _text_order(label)))
-        .otherwise(F.lit("0"))
+        F.when(number >= 0, F.concat(F.lit("\0\6"), F.lpad(F.length(digits).cast("string"), 2, "0"), digits))
+        .when(number < 0, F.concat(F.lit("\0\5"), below, digits))
+        .when(label.isNotNull(), F.concat(F.lit("\0\4"), _text_order(label)))
+        .otherwise(F.lit("\0\3"))
     )
 
 
+def _printed(places: Column) -> Column:
+    """Places of ``verse_lines`` in a text as they are written: parts joined by colons.
+
+    What a place holds for its order only begins with the character 0.
+    """
+    text = F.regexp_replace(places, r"(?:\x00\x01)?\x00(?:\x06..|\x04|\x05.{16})", ":")
+    plain = F.replace(F.replace(text, F.lit("\0\1"), F.lit("")), F.lit("\0\3"), F.lit(""))
+    rare = F.replace(plain, F.lit("\0\2"), F.lit("\0"))
+    return F.when(F.contains(text, F.lit("\0")), rare).otherwise(text)
+
+
 def verse_lines(lines: DataFrame, text: Column) -> DataFrame:
-    """``words, key, text`` of each verse line: its distinct words, its reference to sort by and to print."""
+    """``words, place`` of each verse line: its distinct words, and its reference as a text that sorts alike."""
     return _reference(lines, text).select(
         line_letter_words(F.col("rest")).alias("words"),
         F.concat(
             _text_order(F.col("book")),
             _number_order(F.col("chapter"), F.col("chapter_label")),
             _number_order(F.col("verse"), F.col("verse_label")),
-        ).alias("key"),
-        F.concat_ws(":", "book", "chapter", "chapter_label", "verse", "verse_label").alias("text"),
+        ).alias("place"),
     )
 
 
@@ -181,5 +191,5 @@ def verse_index(
         "word",
         "segment",
         F.col("group_size").alias("postings"),
-        F.array_join("items", ", ").alias("verses"),
+        _printed(F.array_join("items", ", ")).alias("verses"),
     )

@@ -3,8 +3,7 @@
 The task that reads the lines turns them, some million postings at a time, into
 blocks: one per word and slice, its places in order and each of them once. Blocks
 are shuffled, not postings, and the blocks of a word and slice are put together.
-So what is done for every posting is done on arrays, and a place is rendered once
-a line.
+So what is done for every posting is done on arrays.
 
 A small sample of the lines tells the crowded words, and borders that cut all
 places into ranges. A slice of a crowded word is a run of neighbouring ranges, as
@@ -30,7 +29,7 @@ from clickloom.operators import groups
 HELD_POSTINGS = 2_000_000
 # Blocks that a task passes on at a time.
 BATCHED_BLOCKS = 10_000
-BLOCK = "word string, crowded boolean, slice int, items array<struct<key: string, text: string>>"
+BLOCK = "word string, crowded boolean, slice int, items array<string>"
 
 
 @dataclass
@@ -46,14 +45,12 @@ class Layout:
 
 
 def posting_lists(lines: DataFrame, *, segment_size: int, sample: DataFrame) -> DataFrame:
-    """``word, segment, group_size, items``: the texts of a word's places in the order of their keys.
+    """``word, segment, group_size, items``: the distinct places of every word, in order.
 
-    Both tables have a row ``words, key, text`` per line: its words, a text that
-    sorts as its place does and one that prints it. Places are equal where the
-    keys are, and where the texts are. ``sample`` holds the lines of
-    ``groups.sampled`` sources.
+    Both tables have a row ``words, place`` per line: its words, and a text.
+    ``sample`` holds the lines of ``groups.sampled`` sources.
     """
-    layout = _layout(groups.written(sample.select("words", "key")), segment_size)
+    layout = _layout(groups.written(sample.select("words", "place")), segment_size)
     pieces = _pieces(_blocks(lines, layout))
     if not layout.words:
         return groups._whole_groups(pieces, ["word"], [], segment_size)
@@ -83,11 +80,11 @@ def _layout(sample: DataFrame, segment_size: int) -> Layout:
     found = crowded.filter(F.col("n") > max(least, step / 2)).collect()
     powers = [max(0, (-(-r.n // step) - 1).bit_length()) for r in found]
     bits = min(max(powers, default=0), groups.MOST_BORDERS.bit_length() - 1)
-    keys = sample.select("key").dropna()
-    taken = min(1.0, groups.MOST_BORDERS / max(1, keys.count()))
-    # About MOST_BORDERS keys.
-    keys = sorted(r.key for r in (keys.sample(taken, seed=2) if taken < 1 else keys).collect())
-    borders = sorted({keys[len(keys) * i >> bits] for i in range(1, 1 << bits)}) if keys else []
+    places = sample.select("place").dropna()
+    taken = min(1.0, groups.MOST_BORDERS / max(1, places.count()))
+    # About MOST_BORDERS places.
+    drawn = sorted(r.place for r in (places.sample(taken, seed=2) if taken < 1 else places).collect())
+    borders = sorted({drawn[len(drawn) * i >> bits] for i in range(1, 1 << bits)}) if drawn else []
     return Layout(borders, [r.word for r in found], [max(0, bits - p) for p in powers])
 
 
@@ -99,7 +96,7 @@ def _blocks(lines: DataFrame, layout: Layout) -> DataFrame:
     def turn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, postings = [], 0
         for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column("key")))
+            batch = batch.filter(pc.is_valid(batch.column("place")))
             held.append(batch)
             postings += len(batch.column("words").flatten())
             if postings >= HELD_POSTINGS:
@@ -111,21 +108,20 @@ def _blocks(lines: DataFrame, layout: Layout) -> DataFrame:
     def blocks(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         borders, listed_words, shifts = shared.value
         lines = pa.Table.from_batches(held).combine_chunks()
-        keys, words = lines["key"].combine_chunks(), lines["words"].combine_chunks()
-        order = pc.sort_indices(keys).to_numpy()
-        keys = keys.take(pa.array(order))
-        new = np.ones(len(keys), bool)
-        new[1:] = pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.cumsum(new) - 1
-        keys = keys.filter(pa.array(new))
-        texts = lines["text"].combine_chunks().take(pa.array(order[new]))
+        places, words = lines["place"].combine_chunks(), lines["words"].combine_chunks()
+        order = pc.sort_indices(places).to_numpy()
+        places = places.take(pa.array(order))
+        new = np.ones(len(places), bool)
+        new[1:] = pc.not_equal(places[1:], places[:-1]).to_numpy(zero_copy_only=False)
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(new) - 1
+        places = places.filter(pa.array(new))
 
         coded = words.flatten().dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
-        postings = code * len(keys) + place[pc.list_parent_indices(words).to_numpy()]
+        postings = code * len(places) + number[pc.list_parent_indices(words).to_numpy()]
         postings = np.unique(postings)
-        code, at = np.divmod(postings, len(keys))
+        code, at = np.divmod(postings, len(places))
 
         listed = pc.index_in(coded.dictionary, value_set=pa.array(listed_words, pa.string()))
         crowded = pc.is_valid(listed).to_numpy(zero_copy_only=False)
@@ -133,7 +129,7 @@ def _blocks(lines: DataFrame, layout: Layout) -> DataFrame:
         if crowded.any():
             shift = np.zeros(len(crowded), np.int64)
             shift[crowded] = np.array(shifts)[listed.drop_null().to_numpy()]
-            ranges = np.array([bisect_right(borders, key) for key in keys.to_pylist()])
+            ranges = np.array([bisect_right(borders, place) for place in places.to_pylist()])
             slices = np.where(crowded[code], ranges[at] >> shift[code], 0).astype(np.int32)
 
         begins = np.ones(len(postings), bool)
@@ -142,25 +138,24 @@ def _blocks(lines: DataFrame, layout: Layout) -> DataFrame:
         for low in range(0, len(first) - 1, BATCHED_BLOCKS):
             cut = first[low : low + BATCHED_BLOCKS + 1]
             taken = pa.array(at[cut[0] : cut[-1]])
-            items = pa.StructArray.from_arrays([keys.take(taken), texts.take(taken)], ["key", "text"])
             yield pa.RecordBatch.from_arrays(
                 [
                     coded.dictionary.take(pa.array(code[cut[:-1]])),
                     pa.array(crowded[code[cut[:-1]]]),
                     pa.array(slices[cut[:-1]]),
-                    pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), items),
+                    pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), places.take(taken)),
                 ],
                 names=["word", "crowded", "slice", "items"],
             )
 
-    return lines.select("words", "key", "text").mapInArrow(turn, BLOCK)
+    return lines.select("words", "place").mapInArrow(turn, BLOCK)
 
 
 def _pieces(blocks: DataFrame) -> DataFrame:
-    """``word, crowded, slice, n, items``: the texts of the distinct places of every slice, in order."""
+    """``word, crowded, slice, n, items``: the distinct places of every slice, in order."""
     by = ["word", "crowded", "slice"]
     gathered = blocks.repartition(*by).groupBy(*by).agg(F.collect_list("items").alias("blocks"))
     # Blocks in order are most often one sorted run, which costs the sort a single pass.
-    items = F.sort_array(F.flatten(F.sort_array("blocks")))
-    texts = gathered.select(*by, F.array_distinct(items["text"]).alias("items"))
-    return texts.select(*by, F.size("items").cast("bigint").alias("n"), "items")
+    items = F.array_distinct(F.sort_array(F.flatten(F.sort_array("blocks"))))
+    places = gathered.select(*by, items.alias("items"))
+    return places.select(*by, F.size("items").cast("bigint").alias("n"), "items")
