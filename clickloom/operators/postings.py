@@ -29,7 +29,9 @@ from clickloom.operators import groups
 HELD_POSTINGS = 2_000_000
 # Blocks that a task passes on at a time.
 BATCHED_BLOCKS = 10_000
-BLOCK = "word string, crowded boolean, slice int, items array<string>"
+BLOCK = "word string, crowded boolean, slice int, places string"
+# Stands between the places of a block; in none of them a character 0 is followed by a 7.
+BETWEEN = "\0\7"
 
 
 @dataclass
@@ -47,7 +49,8 @@ class Layout:
 def posting_lists(lines: DataFrame, *, segment_size: int, sample: DataFrame) -> DataFrame:
     """``word, segment, group_size, items``: the distinct places of every word, in order.
 
-    Both tables have a row ``words, place`` per line: its words, and a text.
+    Both tables have a row ``words, place`` per line: its words, and a text
+    without ``BETWEEN`` in it, which does not end with a character 0.
     ``sample`` holds the lines of ``groups.sampled`` sources.
     """
     layout = _layout(groups.written(sample.select("words", "place")), segment_size)
@@ -137,15 +140,17 @@ def _blocks(lines: DataFrame, layout: Layout) -> DataFrame:
         first = np.append(np.flatnonzero(begins), len(postings))
         for low in range(0, len(first) - 1, BATCHED_BLOCKS):
             cut = first[low : low + BATCHED_BLOCKS + 1]
-            taken = pa.array(at[cut[0] : cut[-1]])
+            taken = places.take(pa.array(at[cut[0] : cut[-1]]))
+            listed_places = pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), taken)
             yield pa.RecordBatch.from_arrays(
                 [
                     coded.dictionary.take(pa.array(code[cut[:-1]])),
                     pa.array(crowded[code[cut[:-1]]]),
                     pa.array(slices[cut[:-1]]),
-                    pa.ListArray.from_arrays(pa.array((cut - cut[0]).astype(np.int32)), places.take(taken)),
+                    # One text a block: an array would take as much again for its offsets.
+                    pc.binary_join(listed_places, BETWEEN),
                 ],
-                names=["word", "crowded", "slice", "items"],
+                names=["word", "crowded", "slice", "places"],
             )
 
     return lines.select("words", "place").mapInArrow(turn, BLOCK)
@@ -154,8 +159,9 @@ def _blocks(lines: DataFrame, layout: Layout) -> DataFrame:
 def _pieces(blocks: DataFrame) -> DataFrame:
     """``word, crowded, slice, n, items``: the distinct places of every slice, in order."""
     by = ["word", "crowded", "slice"]
-    gathered = blocks.repartition(*by).groupBy(*by).agg(F.collect_list("items").alias("blocks"))
+    gathered = blocks.repartition(*by).groupBy(*by).agg(F.collect_list("places").alias("blocks"))
     # Blocks in order are most often one sorted run, which costs the sort a single pass.
-    items = F.array_distinct(F.sort_array(F.flatten(F.sort_array("blocks"))))
+    joined = F.array_join(F.sort_array("blocks"), BETWEEN)
+    items = F.array_distinct(F.sort_array(F.split(joined, r"\x00\x07")))
     places = gathered.select(*by, items.alias("items"))
     return places.select(*by, F.size("items").cast("bigint").alias("n"), "items")
