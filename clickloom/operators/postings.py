@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import groups
 
 # Postings that a task turns at a time.
-HELD_POSTINGS = 2_000_000
+HELD_POSTINGS = 1_000_000
 # Blocks that a task passes on at a time.
 BATCHED_BLOCKS = 10_000
 BLOCK = "word string, crowded boolean, slice int, places string"
